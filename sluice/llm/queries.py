@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm import pii, toxicity
 from sluice.llm.packing import pack
 
 
@@ -21,8 +23,34 @@ def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), tokenizer_path())
 
 
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = pii.find_personal(docs, pii.learn(docs))
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def written_out(kinds: tuple[str, ...]):
+        parts = F.transform(
+            of(*kinds), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(parts, ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(written_out(pii.BASE_KINDS), 256).alias("base_sha256"),
+        written_out(pii.KINDS).alias("spans"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return toxicity.toxicity(docs, toxicity.learn(docs, _table(spark, sf, "labels")))
+
+
 def queries() -> dict:
-    return {"op3_pack": op3_pack}
+    return {"op3_pack": op3_pack, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
