@@ -82,3 +82,26 @@ def rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def row_key(text: str = "text") -> list[Column]:
+    """Columns that tell rows apart by id and text; rows equal in both share a key, and so every decision."""
+    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return [id_of().alias("_id"), *[part.alias(name) for part, name in zip(hashes(value), ("_t1", "_t2"), strict=True)]]
+
+
+def hashes(value: Column, salt: int = 0) -> list[Column]:
+    """Two 64-bit hashes of ``value``."""
+    return [F.xxhash64(F.lit(2 * salt), value), F.xxhash64(F.lit(2 * salt + 1), value)]
+
+
+KEY = ["_id", "_t1", "_t2"]
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def ascii_lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

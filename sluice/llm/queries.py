@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import pii, toxicity
+from sluice.llm.decontamination import decontaminate
+from sluice.llm.exact_dedup import dedup
+from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import pack
 
 
@@ -19,10 +22,31 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), tokenizer_path())
 
 
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup(_table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup(_table(spark, sf, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     found = pii.find_personal(docs, pii.learn(docs))
@@ -49,9 +73,76 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.learn(docs, _table(spark, sf, "labels")))
 
 
+OP2_SQL = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+),
+item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+),
+item_starts as (
+  select item_id, w, least(13, len(w)) as n, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) as i
+  from item_words where len(w) > 0
+),
+windows as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as t from item_starts),
+sizes as (select distinct n from windows),
+doc_starts as (
+  select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from doc_words, sizes where len(w) >= n
+),
+doc_windows as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as t from doc_starts),
+hits as (select doc_id, i, n, item_id from doc_windows join windows using (n, t)),
+covered as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(generate_series(i, i + n - 1)) as p from hits) group by doc_id
+),
+met as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc_words d left join covered c on c.doc_id = d.doc_id left join met m on m.doc_id = d.doc_id"""
+
+OP6_SQL = """
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from documents
+),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+),
+shared as (
+  select key, max(doc_id) as last from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+),
+marked as (select k.*, s.key is not null and doc_id <> last as dropped from keyed k left join shared s on s.key = k.key)
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not dropped), '')) as kept_sha256
+from marked group by doc_id"""
+
+OP7_SQL = r"""
+with texts as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents
+),
+groups as (select t, min(doc_id) as keep_id, count(*) as group_size from texts group by t)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
+from texts join groups using (t)"""
+
+
 def queries() -> dict:
-    return {"op3_pack": op3_pack, "op9_pii": op9_pii, "op10_toxicity": op10_toxicity}
+    return {
+        "op2_decontaminate": op2_decontaminate,
+        "op3_pack": op3_pack,
+        "op6_line_dedup": op6_line_dedup,
+        "op7_exact_dedup": op7_exact_dedup,
+        "op9_pii": op9_pii,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL, "op7_exact_dedup": OP7_SQL}
