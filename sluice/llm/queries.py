@@ -9,6 +9,7 @@ from sluice.llm import pii, toxicity
 from sluice.llm.decontamination import decontaminate
 from sluice.llm.exact_dedup import dedup
 from sluice.llm.line_dedup import line_dedup
+from sluice.llm.near_dedup import near_dedup
 from sluice.llm.packing import pack
 
 
@@ -38,6 +39,10 @@ def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), tokenizer_path())
 
 
+def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup(_table(spark, sf, "documents"), words=4)
+
+
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup(_table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -137,6 +142,7 @@ def queries() -> dict:
     return {
         "op2_decontaminate": op2_decontaminate,
         "op3_pack": op3_pack,
+        "op5_near_dedup": op5_near_dedup,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_pii": op9_pii,
