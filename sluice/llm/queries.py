@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import pii, toxicity
+from sluice.llm import pii, secrets, toxicity
 from sluice.llm.decontamination import decontaminate
 from sluice.llm.exact_dedup import dedup
 from sluice.llm.line_dedup import line_dedup
@@ -39,6 +39,29 @@ def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), tokenizer_path())
 
 
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.learn(docs))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE_KINDS))
+
+    def written_out(spans):
+        names = F.array(*[F.lit(kind) for kind in secrets.KINDS])
+        parts = F.transform(
+            spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(parts, ",")
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "row.doc_id",
+        *[count(kind).alias(f"n_{name}") for kind, name in enumerate(secrets.BASE_KINDS)],
+        F.sha2(written_out(base), 256).alias("base_sha256"),
+        written_out(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup(_table(spark, sf, "documents"), words=4)
 
@@ -142,6 +165,7 @@ def queries() -> dict:
     return {
         "op2_decontaminate": op2_decontaminate,
         "op3_pack": op3_pack,
+        "op4_secrets": op4_secrets,
         "op5_near_dedup": op5_near_dedup,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
