@@ -11,6 +11,8 @@ from sluice.llm.exact_dedup import dedup
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.near_dedup import near_dedup
 from sluice.llm.packing import pack
+from sluice.llm.substring_dedup import substring_dedup
+from sluice.llm.suffix_dedup import suffix_dedup
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -23,6 +25,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     return found.select(
@@ -75,6 +81,10 @@ def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup(_table(spark, sf, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     found = pii.find_personal(docs, pii.learn(docs))
@@ -163,12 +173,14 @@ from texts join groups using (t)"""
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_decontaminate": op2_decontaminate,
         "op3_pack": op3_pack,
         "op4_secrets": op4_secrets,
         "op5_near_dedup": op5_near_dedup,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
