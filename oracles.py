@@ -36,15 +36,21 @@ ranked as (
   from continuations
 ),
 model as materialized (
-  select r.prefix, cast(r.rank as integer) as rank, r.word, r.cnt, round(r.cnt / f.cnt, 6) as prob
+  select r.prefix, cast(r.rank as integer) as rank, r.word, r.cnt, r.cnt / f.cnt as prob
   from ranked r left join frequent f on f.phrase = r.prefix
   where r.rank <= 5
 )"""
 
 TERMS = r"""
 benchmark_words as (select item_id, string_split(text, ' ') as w from benchmark),
+asked_words as (
+  select regexp_extract_all(line, '[a-zA-Z]+') as t
+  from (select unnest(string_split_regex(text, '\r\n|\r|\n')) as line from benchmark)
+),
+asked_starts as (select t, unnest(generate_series(1, len(t))) as i from asked_words where len(t) > 0),
+asked_spans as (select t, i, unnest(generate_series(1, least(4, len(t) - i + 1))) as size from asked_starts),
 terms as (
-  select array_to_string(w[1:n], ' ') as term from benchmark_words, generate_series(1, 4) g(n)
+  select lower(array_to_string(t[i:i + size - 1], ' ')) as term from asked_spans
   union select ' ' || chr(9) || upper(w[1]) || ' ' from benchmark_words
   union select 'qzx ' || item_id from benchmark_words
 )"""
@@ -72,7 +78,7 @@ def _tfidf(total: str, where: str = "") -> str:
     return (
         "with " + TOKENS + f""",
 total as (select {total} as n from tf)
-select word, title, tf, df, round(tf * ln(n / df), 6) as score
+select word, title, tf, df, floor(tf * ln(n / df) * 1e6 + 0.5) / 1e6 as score
 from tf join df using (word), total {where}"""
     )
 
@@ -85,7 +91,7 @@ ARCS = """
 steps as (
   select l_partkey as src,
          lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as dst
-  from lineitem where l_quantity >= 40
+  from lineitem
 ),
 arcs as materialized (select distinct src, dst from steps where dst is not null),
 nodes as (select p_partkey as id, p_name as title from part)"""
@@ -161,7 +167,30 @@ friends as (
 PHOTOS = """
 photos as (
   select o_custkey as userid, strftime(max(o_orderdate), '%Y-%m-%d') as time, cast(max(o_orderkey) as varchar) as url
-  from orders where o_orderstatus = 'F' group by o_custkey
+  from orders group by o_custkey
+)"""
+
+PHOTO_LOOKUP = (
+    "with " + USERS + "," + PHOTOS + """
+select distinct r.userid, case when r.userid is not null then coalesce(time, '') end as time,
+       case when r.userid is not null then coalesce(url, '') end as url,
+       case when r.userid is null then 'bad request' end as err
+from requests r left join photos p on p.userid = r.userid"""
+)
+
+TIMELINE = """,
+entries as (
+  select f.userid, f.friend, coalesce(u.name, 'Unauthorized') as name,
+         coalesce(p.time, '') as time, coalesce(p.url, '') as url
+  from (select distinct userid from answers where err is null and name <> 'Unauthorized') a
+  join friends f on f.userid = a.userid
+  left join users u on cast(u.userid as varchar) = f.friend
+  left join photos p on cast(p.userid as varchar) = f.friend
+),
+entries_once as (
+  select userid, time, name, url from (
+    select *, row_number() over (partition by userid, time, name order by friend) as nth from entries
+  ) where nth = 1
 )"""
 
 OPERATIONS = """
@@ -179,14 +208,13 @@ select key, arg_max(value, row(ts, op_id)) as value from operations where is_put
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "ngrams": "with " + GRAMS + """
-select doc_id, cast(size as integer) as words, count(*) as phrases, cast(sum(length(phrase)) as bigint) as letters,
-       cast(sum(ascii(phrase) * length(phrase)) as bigint) as initials
-from grams group by doc_id, size""",
+        "ngrams": "with " + GRAMS + " select doc_id, phrase, count(*) as cnt from grams group by doc_id, phrase",
         "ngram_counts": "with " + COUNTS + " select phrase, cnt from counts",
         "language_model": "with " + MODEL + " select prefix, rank, word, cnt, prob from model",
         "suggest": SUGGEST,
         "suggest_stream": SUGGEST,
+        "suggest_response": f"""
+select term, cast(rank - 1 as integer) as place, label, probability from ({SUGGEST})""",
         "parse_pages": """
 select cast(doc_id as varchar) as page_id, source as title, lang as date, chr(9) || text as body
 from documents where doc_id % 7 <> 0
@@ -199,30 +227,31 @@ from documents where doc_id % 7 = 0 and contains(text, chr(9))""",
         "tfidf": _tfidf("sum(tf)"),
         "tfidf_documents": _tfidf("count(distinct title)"),
         "tfidf_term": _tfidf_term("the"),
-        "pagerank": _pagerank(10, False) + " select id, round(rank, 6) as rank from r10",
-        "pagerank_standard": _pagerank(10, True) + " select id, round(rank, 6) as rank from r10",
+        "pagerank": _pagerank(10, False) + " select id, floor(rank * 1e6 + 0.5) / 1e6 as rank from r10",
+        "pagerank_standard": _pagerank(10, True) + " select id, floor(rank * 1e6 + 0.5) / 1e6 as rank from r10",
         "pagerank_top": _pagerank(10, False) + """
-select title, round(rank, 6) as rank from r10 join nodes using (id) order by 2 desc, id limit 100""",
+select title, floor(rank * 1e6 + 0.5) / 1e6 as rank from r10 join nodes using (id) order by 2 desc, id limit 100""",
         "shortest_paths_to": PATHS,
         "login": "with " + USERS + " select userid, password, name, err from answers",
         "friend_list": "with " + FRIENDS + " select userid, friend from friends",
-        "photo_lookup": "with " + USERS + "," + PHOTOS + """
-select distinct r.userid, case when r.userid is not null then coalesce(time, '') end as time,
-       case when r.userid is not null then coalesce(url, '') end as url,
-       case when r.userid is null then 'bad request' end as err
-from requests r left join photos p on p.userid = r.userid""",
-        "timeline": "with " + USERS + "," + FRIENDS + "," + PHOTOS + """,
-entries as (
-  select f.userid, f.friend, coalesce(u.name, 'Unauthorized') as name,
-         coalesce(p.time, '') as time, coalesce(p.url, '') as url
-  from (select distinct userid from answers where err is null and name <> 'Unauthorized') a
-  join friends f on f.userid = a.userid
-  left join users u on cast(u.userid as varchar) = f.friend
-  left join photos p on cast(p.userid as varchar) = f.friend
+        "login_response": "with " + USERS + " select userid, password, name, err from answers",
+        "friends_response": "with " + USERS + "," + FRIENDS + """,
+sorted as (
+  select userid, friend, cast(row_number() over (partition by userid order by friend) - 1 as integer) as place
+  from friends
+)
+select r.userid, case when r.userid is null then 'bad request' end as err, place, friend
+from (select distinct userid from requests) r left join sorted s on s.userid = r.userid""",
+        "photo_response": PHOTO_LOOKUP,
+        "timeline_response": "with " + USERS + "," + FRIENDS + "," + PHOTOS + TIMELINE + """,
+sorted as (
+  select *, cast(row_number() over (partition by userid order by time, name) - 1 as integer) as place
+  from entries_once
 )
-select userid, time, name, url from (
-  select *, row_number() over (partition by userid, time, name order by friend) as nth from entries
-) where nth = 1""",
+select a.userid, a.password, a.err, a.name as user, place, url, time, s.name
+from answers a left join sorted s on s.userid = a.userid and a.name <> 'Unauthorized' and a.err is null""",
+        "photo_lookup": PHOTO_LOOKUP,
+        "timeline": "with " + USERS + "," + FRIENDS + "," + PHOTOS + TIMELINE + " select userid, time, name, url from entries_once",
         "photo_export": """
 select cast(o_custkey as varchar) as userid,
        'url' || chr(3) || '{"s":"' || o_orderkey || '"}' || chr(2) ||

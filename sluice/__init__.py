@@ -3,6 +3,13 @@
 from sluice.operators.graph import pagerank, pagerank_top, shortest_paths_to
 from sluice.operators.langmodel import language_model, pack_model, suggest
 from sluice.operators.oplog import kv_latest, kv_read_asof
+from sluice.operators.responses import (
+    friends_response,
+    login_response,
+    photo_response,
+    suggest_response,
+    timeline_response,
+)
 from sluice.operators.social import friend_list, login, photo_export, photo_lookup, timeline
 from sluice.operators.textstats import (
     document_frequency,
@@ -16,19 +23,29 @@ from sluice.operators.textstats import (
 from sluice.plans.skew import SkewLimits
 from sluice.session import build_session, ensure_checkpoint_dir
 from sluice.sources.text import parse_pages
-from sluice.streaming.requests import kv_latest_stream, suggest_stream
+from sluice.streaming.requests import (
+    compact_latest,
+    kv_latest_stream,
+    read_latest,
+    read_suggestions,
+    suggest_stream,
+    write_model_table,
+)
 
 __all__ = [
     "SkewLimits",
     "build_session",
+    "compact_latest",
     "document_frequency",
     "ensure_checkpoint_dir",
     "friend_list",
+    "friends_response",
     "kv_latest",
     "kv_latest_stream",
     "kv_read_asof",
     "language_model",
     "login",
+    "login_response",
     "ngram_counts",
     "ngrams",
     "pack_model",
@@ -38,11 +55,17 @@ __all__ = [
     "parse_pages",
     "photo_export",
     "photo_lookup",
+    "photo_response",
+    "read_latest",
+    "read_suggestions",
     "shortest_paths_to",
     "suggest",
+    "suggest_response",
     "suggest_stream",
     "term_frequency",
     "tfidf",
     "tfidf_term",
     "timeline",
+    "timeline_response",
+    "write_model_table",
 ]

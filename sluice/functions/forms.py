@@ -23,6 +23,12 @@ def photo_item(userid: Column, time: Column, url: Column) -> Column:
     )
 
 
+def has_three_fields(userid: Column, time: Column, url: Column) -> Column:
+    """Whether the fields, joined by tabs, split into three again; empty ones at the end do not count."""
+    inner = F.concat(userid, time, url)
+    return ~F.contains(inner, F.lit("\t")) & (url != "")
+
+
 def response(err: Column, **members: Column) -> Column:
     """JSON object of ``members``, or of the error where there is one."""
     body = F.to_json(F.struct(*[value.alias(name) for name, value in members.items()]))
@@ -30,10 +36,12 @@ def response(err: Column, **members: Column) -> Column:
 
 
 def model_row(suggestions: Column) -> Column:
-    """``word,prob`` pairs with tabs between them, from an array of ``(word, prob)``."""
-    return F.array_join(
-        F.transform(suggestions, lambda s: F.concat(s["word"], F.lit(","), s["prob"].cast("string"))), "\t"
-    )
+    """``word,prob`` pairs with tabs between them, from an array of ``(word, prob)``; a null probability is empty."""
+
+    def pair(entry: Column) -> Column:
+        return F.concat(entry["word"], F.lit(","), F.coalesce(entry["prob"].cast("string"), F.lit("")))
+
+    return F.array_join(F.transform(suggestions, pair), "\t")
 
 
 def path_line(seed: Column, vertex: Column, path: Column) -> Column:

@@ -11,6 +11,8 @@ TERM_BLANKS = " \t\n\r\0\x0b"
 # fixed pattern: markup, a written-out line break, any other character that is no letter.
 # Runs are only taken of characters that start neither of the first two.
 PAGE_NOISE = r"<[^>]*>|\\n|[^a-zA-Z<\\]+|[<\\]"
+# fixed pattern: the same where no markup can end
+TAIL_NOISE = r"\\n|[^a-zA-Z\\]+|\\"
 
 
 def line_words(line: Column) -> Column:
@@ -20,8 +22,14 @@ def line_words(line: Column) -> Column:
 
 
 def page_words(body: Column) -> Column:
-    """Words of a page body without markup; a body without any gives one empty string."""
-    spaced = F.regexp_replace(body, PAGE_NOISE, " ")
+    """Words of a page body without markup; a body without any gives one empty string.
+
+    Up to the last ``>`` every ``<`` is closed, and behind it none is, so markup is only looked for in front of it and no
+    ``<`` is followed to the end of the text in vain.
+    """
+    tail = F.substring_index(body, ">", -1)
+    head = F.substring(body, F.lit(1), F.length(body) - F.length(tail))
+    spaced = F.concat(F.regexp_replace(head, PAGE_NOISE, " "), F.regexp_replace(tail, TAIL_NOISE, " "))
     return F.split(F.lower(F.trim(spaced)), " +")
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.plans.layout import cut, keep_sorted
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, every_slot, lookup_join, slot_of
+from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, every_slot, hot_keys, lookup_join, slot_of
 
+#: Levels of a search that are written together once there are so many.
 LEVELS_PER_BLOCK = 16
 
 
@@ -26,24 +27,21 @@ class _SlottedArcs:
     """Arcs laid out for joins on ``key``, in slots where a node has too many of them."""
 
     def __init__(self, arcs: DataFrame, key: str, other: str, degrees: DataFrame, total: int, limits: SkewLimits):
-        slot_rows = limits.slot_rows(total)
-        hot = degrees.where(F.col("degree") > slot_rows).select(
-            "id", F.ceil(F.col("degree") / slot_rows).cast("int").alias("fan")
-        )
-        self._hot = cut(hot)
+        self._hot = cut(hot_keys(degrees, "id", "degree", limits))
         self._split = not self._hot.isEmpty()
         self._key = key
         if self._split:
-            fans = F.broadcast(self._hot.withColumnRenamed("id", key))
-            arcs = arcs.join(fans, key, "left").withColumn("slot", slot_of(F.col("fan"), [other])).drop("fan")
+            arcs = self._with_fan(arcs).withColumn("slot", slot_of(F.col("fan"), [other])).drop("fan")
         self.keys = [key, "slot"] if self._split else [key]
-        self.arcs = keep_sorted(arcs, self.keys)
+        self.arcs = keep_sorted(arcs, self.keys, total)
+
+    def _with_fan(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("hot", F.xxhash64(self._key)).join(F.broadcast(self._hot), "hot", "left").drop("hot")
 
     def join(self, state: DataFrame) -> DataFrame:
         """Arcs with the columns of ``state``, which holds node ids under the name of the key."""
         if self._split:
-            fans = F.broadcast(self._hot.withColumnRenamed("id", self._key))
-            state = state.join(fans, self._key, "left").withColumn("slot", every_slot(F.col("fan"))).drop("fan")
+            state = self._with_fan(state).withColumn("slot", every_slot(F.col("fan"))).drop("fan")
         return self.arcs.join(state, self.keys)
 
     def release(self) -> None:
@@ -85,7 +83,6 @@ def pagerank(
         out_degrees.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")),
         "dst",
         how="left",
-        limits=limits,
     )
     layout = _SlottedArcs(targets, "src", "dst", out_degrees, total, limits)
     start = cut(
@@ -135,13 +132,36 @@ def pagerank_top(ranks: DataFrame, nodes: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
-def shortest_paths_to(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+def shortest_paths_to(
+    arcs: DataFrame,
+    seeds: DataFrame,
+    limits: SkewLimits = DEFAULT_LIMITS,
+    levels_per_block: int = LEVELS_PER_BLOCK,
+) -> DataFrame:
     """``(seed, id, len, parent, path)``: a shortest path along the arcs from each node to each seed.
 
     Of equally short paths the one whose steps have the smaller ids is taken. ``len`` counts nodes,
     ``parent`` is the next step (null for the seed). Nodes that cannot reach a seed give no row, nor do
-    seeds that are on no arc. All seeds are searched at once, one level of distance per step.
+    seeds that are on no arc. All seeds are searched at once, one level of distance per step. The search
+    carries ids only; the paths are put together afterwards, each level's from those of the level before.
     """
+    levels = _search(arcs, seeds, limits, levels_per_block)
+    nearer = cut(levels.where("len = 1").withColumn("path", F.array("id")))
+    found = [nearer]
+    depth = levels.agg(F.max("len").alias("depth")).first()["depth"] or 1
+    for distance in range(2, depth + 1):
+        ends = nearer.select("seed", F.col("id").alias("parent"), "path")
+        nearer = cut(
+            levels.where(F.col("len") == distance)
+            .join(ends.hint("merge"), ["seed", "parent"])
+            .select("seed", "id", "len", "parent", F.concat(F.array("id"), "path").alias("path"))
+        )
+        found.append(nearer)
+    return _union_all(found)
+
+
+def _search(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits, levels_per_block: int) -> DataFrame:
+    """``(seed, id, len, parent)`` of all nodes that reach a seed."""
     links = _distinct_arcs(arcs)
     total = links.count()
     in_degrees = links.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
@@ -151,11 +171,7 @@ def shortest_paths_to(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits = DE
     asked = seeds.select(F.col("seed").cast(id_type).alias("seed")).distinct()
     frontier = cut(
         known.join(asked, "seed").select(
-            "seed",
-            F.col("seed").alias("id"),
-            F.lit(1).alias("len"),
-            F.lit(None).cast(id_type).alias("parent"),
-            F.array("seed").alias("path"),
+            "seed", F.col("seed").alias("id"), F.lit(1).alias("len"), F.lit(None).cast(id_type).alias("parent")
         )
     )
     blocks: list[DataFrame] = []
@@ -164,29 +180,23 @@ def shortest_paths_to(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits = DE
     try:
         while not frontier.isEmpty():
             distance += 1
-            offers = layout.join(frontier.select("seed", F.col("id").alias("dst"), "path")).select(
-                "seed", F.col("src").alias("id"), F.col("dst").alias("parent"), "path"
-            )
-            best = offers.groupBy("seed", "id").agg(
-                F.min("parent").alias("parent"), F.min_by("path", "parent").alias("path")
+            offers = layout.join(frontier.select("seed", F.col("id").alias("dst"))).select(
+                "seed", F.col("src").alias("id"), F.col("dst").alias("parent")
             )
+            best = offers.groupBy("seed", "id").agg(F.min("parent").alias("parent"))
             seen = _union_all([part.select("seed", "id") for part in blocks + levels])
             frontier = cut(
                 best.join(seen, ["seed", "id"], "left_anti").select(
-                    "seed",
-                    "id",
-                    F.lit(distance).alias("len"),
-                    "parent",
-                    F.concat(F.array("id"), "path").alias("path"),
+                    "seed", "id", F.lit(distance).alias("len"), "parent"
                 )
             )
             levels.append(frontier)
-            if len(levels) == LEVELS_PER_BLOCK:
+            if len(levels) >= levels_per_block:
                 blocks.append(cut(_union_all(levels)))
                 levels = []
     finally:
         layout.release()
-    return _union_all(blocks + levels)
+    return cut(_union_all(blocks + levels))
 
 
 def _union_all(parts: list[DataFrame]) -> DataFrame:

@@ -6,26 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.text import last_word, query_term, words_before_last
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, lookup_join
+from sluice.plans.skew import lookup_join
 
 
 def language_model(counts: DataFrame, k: int = 5, threshold: int = 2) -> DataFrame:
     """``(prefix, rank, word, cnt, prob)``: the ``k`` likeliest next words of each prefix.
 
     ``counts`` is ``(phrase, cnt)``, one row per phrase; only counts above ``threshold`` are used.
-    ``prob`` is null where the prefix itself has no such count. The rank filter is applied by
-    Spark before the shuffle as well, so each task sends at most ``k`` rows per prefix, however
-    many continuations it has; the prefix counts join what is left.
+    ``prob`` is null where the prefix itself has no such count. Each frequent phrase gives a row under
+    itself, without a word, and one under its prefix; they meet in one shuffle by prefix. A
+    prefix's own row comes first there, so ``k + 1`` rows are enough; Spark applies that limit before
+    the shuffle as well, and a prefix with many continuations sends few rows from each task.
     """
-    frequent = counts.where(F.col("cnt") > threshold)
-    continuations = frequent.select(
-        words_before_last(F.col("phrase")).alias("prefix"), last_word(F.col("phrase")).alias("word"), "cnt"
-    ).where("prefix <> ''")
-    order = Window.partitionBy("prefix").orderBy(F.desc("cnt"), "word")
-    best = continuations.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    base = frequent.select(F.col("phrase").alias("prefix"), F.col("cnt").alias("base"))
-    # as large as the counts themselves: never a candidate for a broadcast
-    return best.join(base.hint("merge"), "prefix", "left").select(
+    phrase = F.col("phrase")
+    own = F.struct(phrase.alias("prefix"), F.lit(None).cast("string").alias("word"), "cnt")
+    after = F.struct(words_before_last(phrase).alias("prefix"), last_word(phrase).alias("word"), "cnt")
+    rows = (
+        counts.where(F.col("cnt") > threshold)
+        .select(F.explode(F.array(own, after)).alias("row"))
+        .select("row.*")
+        .where("prefix <> ''")
+    )
+    order = Window.partitionBy("prefix").orderBy(F.col("word").isNotNull(), F.desc("cnt"), "word")
+    best = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+    base = F.max(F.when(F.col("word").isNull(), F.col("cnt"))).over(Window.partitionBy("prefix"))
+    ranked = best.withColumn("base", base).withColumn("rank", F.col("place") - F.col("base").isNotNull().cast("int"))
+    return ranked.where(F.col("word").isNotNull() & (F.col("rank") <= k)).select(
         "prefix", "rank", "word", "cnt", F.try_divide("cnt", "base").alias("prob")
     )
 
@@ -42,7 +48,7 @@ def pack_model(model: DataFrame) -> DataFrame:
     )
 
 
-def suggest(terms: DataFrame, model: DataFrame, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+def suggest(terms: DataFrame, model: DataFrame) -> DataFrame:
     """``(term, rank, label, probability)`` for each distinct term the model knows.
 
     ``terms`` has a column ``term``, ``model`` is the result of :func:`language_model`. All words of
@@ -52,4 +58,4 @@ def suggest(terms: DataFrame, model: DataFrame, limits: SkewLimits = DEFAULT_LIM
     asked = terms.select("term").where("term is not null").distinct()
     asked = asked.withColumn("prefix", query_term(F.col("term")))
     entries = model.select("prefix", "rank", F.col("word").alias("label"), F.col("prob").alias("probability"))
-    return lookup_join(asked, entries, "prefix", limits=limits).select("term", "rank", "label", "probability")
+    return lookup_join(asked, entries, "prefix").select("term", "rank", "label", "probability")

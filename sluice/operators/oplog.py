@@ -28,23 +28,23 @@ def kv_read_asof(ops: DataFrame, limits: SkewLimits = DEFAULT_LIMITS) -> DataFra
     A key of ordinary size is one window. The log of a hot key is cut into ranges of time of equal
     size; each is read by itself, and what a range has no put for comes from the ranges before.
     """
-    log = ops.where("key is not null")
+    log = ops.where("key is not null").withColumn("hot", F.xxhash64("key"))
     weights = log.groupBy("key").agg(F.count(F.lit(1)).alias("weight"))
-    hot = cut(hot_keys(weights, "key", "weight", limits).select("key"))
+    hot = cut(hot_keys(weights, "key", "weight", limits).select("hot"))
     by_key = Window.partitionBy("key").orderBy("ts", "op_id")
     columns = ["op_id", "key", "ts", "loc"]
     if hot.isEmpty():
         return log.withColumn("stored", _last_put(by_key)).where("op = 'get'").select(*columns, "stored.value")
 
     usual = (
-        log.join(F.broadcast(hot), "key", "left_anti")
+        log.join(F.broadcast(hot), "hot", "left_anti")
         .withColumn("stored", _last_put(by_key))
         .where("op = 'get'")
         .select(*columns, "stored.value")
     )
     # written out, so that the number of the range a row fell into is fixed
     ranged = cut(
-        log.join(F.broadcast(hot), "key", "left_semi")
+        log.join(F.broadcast(hot), "hot", "left_semi")
         .repartitionByRange("key", "ts", "op_id")
         .withColumn("part", F.spark_partition_id())
     )

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.forms import BAD_REQUEST, UNAUTHORIZED, photo_item
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, lookup_join
+from sluice.functions.forms import BAD_REQUEST, UNAUTHORIZED, has_three_fields, photo_item
+from sluice.plans.skew import lookup_join
 from sluice.sources.text import parse_friend_cells
 
+#: Rows of equal copies that one task writes out.
 COPIES_PER_CHUNK = 100_000
 
 
@@ -48,7 +49,7 @@ def login(requests: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def friend_list(cells: DataFrame, requests: DataFrame | None = None, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+def friend_list(cells: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """``(userid, friend)``: the distinct friends of each user in string order, one row each.
 
     Rows, not one array per user: a list may be of any length, and sorting by user and friend
@@ -57,7 +58,7 @@ def friend_list(cells: DataFrame, requests: DataFrame | None = None, limits: Ske
     friends = parse_friend_cells(cells)
     if requests is not None:
         asked = requests.select("userid").where("userid is not null").distinct()
-        friends = lookup_join(friends, asked, "userid", limits=limits)
+        friends = lookup_join(friends, asked, "userid")
     return friends.select("userid", "friend").orderBy("userid", "friend")
 
 
@@ -77,7 +78,6 @@ def timeline(
     users: DataFrame,
     cells: DataFrame,
     photos: DataFrame,
-    limits: SkewLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``(userid, time, name, url)``: the photos of the friends of each user who logs in, by time and name.
 
@@ -95,11 +95,11 @@ def timeline(
     names = users.groupBy("userid").agg(F.max("name").alias("name"))
     profiles = names.join(_latest_photos(photos), "userid", "full").withColumnRenamed("userid", "friend_id")
     key_type = profiles.schema["friend_id"].dataType
-    friends = lookup_join(parse_friend_cells(cells), admitted, "userid", limits=limits)
+    friends = lookup_join(parse_friend_cells(cells), admitted, "userid")
     # ids that are no key of the type become null: they match nobody, and are kept apart from the
     # join so that they do not meet in one task
     friends = friends.withColumn("friend_id", F.col("friend").try_cast(key_type))
-    known = lookup_join(friends.where("friend_id is not null"), profiles, "friend_id", how="left", limits=limits)
+    known = lookup_join(friends.where("friend_id is not null"), profiles, "friend_id", how="left")
     strange = friends.where("friend_id is null").select(
         "userid", "friend", *[F.lit(None).cast("string").alias(name) for name in ("name", "time", "url")]
     )
@@ -121,19 +121,22 @@ def timeline(
     )
 
 
-def photo_export(rows: DataFrame) -> DataFrame:
+def photo_export(rows: DataFrame, copies_per_chunk: int = COPIES_PER_CHUNK) -> DataFrame:
     """``(userid, item)``: one bulk-load line per ``(userid, time, url)`` row, clustered and sorted by user.
 
+    A row whose fields hold a tab, or whose url is empty, is no line of three tab-separated fields and is left out.
+
     Ranges of user, time and url cut a frequent user over several tasks. Equal rows are counted and
     cut into chunks first, since ranges could not part them, and written out again afterwards.
     """
-    counted = rows.groupBy("userid", "time", "url").agg(F.count(F.lit(1)).alias("copies"))
+    valid = rows.where(has_three_fields(F.col("userid"), F.col("time"), F.col("url")))
+    counted = valid.groupBy("userid", "time", "url").agg(F.count(F.lit(1)).alias("copies"))
     chunks = counted.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / COPIES_PER_CHUNK) - 1))
+        "chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / copies_per_chunk) - 1))
     )
     order = ["userid", "time", "url", "chunk"]
     ranged = chunks.repartitionByRange(*order).sortWithinPartitions(*order)
-    in_chunk = F.least(F.lit(COPIES_PER_CHUNK), F.col("copies") - F.col("chunk") * COPIES_PER_CHUNK)
+    in_chunk = F.least(F.lit(copies_per_chunk), F.col("copies") - F.col("chunk") * copies_per_chunk)
     return ranged.select(
         "userid",
         photo_item(F.col("userid"), F.col("time"), F.col("url")).alias("item"),

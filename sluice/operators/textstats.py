@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import line_words, page_words
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, lookup_join
+from sluice.plans.layout import cut
+from sluice.plans.skew import lookup_join
 
 MAX_WORDS = 5
 
@@ -70,7 +71,7 @@ def _check_mode(n_mode: str) -> None:
         raise ValueError(f"n_mode must be 'tokens' or 'documents', not {n_mode!r}")
 
 
-def tfidf(pages: DataFrame, n_mode: str = "tokens", limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
+def tfidf(pages: DataFrame, n_mode: str = "tokens") -> DataFrame:
     """``(word, title, tf, df, score)`` with score ``tf * ln(N / df)``.
 
     N is the number of tokens, or with ``n_mode='documents'`` the number of titles. The pages are
@@ -90,11 +91,7 @@ def tfidf(pages: DataFrame, n_mode: str = "tokens", limits: SkewLimits = DEFAULT
         total = words.agg(F.sum("occurrences").alias("n")).scalar()
     else:
         total = tf.where("tf > 0").select("title").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    # the word totals say how often each word will be looked up, so no further count is needed;
-    # the merge hint stands against broadcasting a vocabulary whose size the planner cannot know
-    scored = lookup_join(
-        tf, words.select("word", "df").hint("merge"), "word", weights=words, weight="df", limits=limits
-    )
+    scored = lookup_join(tf, words.select("word", "df"), "word")
     return scored.select("word", "title", "tf", "df", (F.col("tf") * F.log(total / F.col("df"))).alias("score"))
 
 
@@ -102,7 +99,8 @@ def tfidf_term(pages: DataFrame, term: str, n_mode: str = "tokens") -> DataFrame
     """``(title, score)`` of the titles that hold ``term``, best first; pages without a title are left out.
 
     Occurrences are counted inside each page, so one row per page is shuffled rather than one
-    per word, and document frequency and N are read off the same shuffle.
+    per word. The row per title that comes of it is written, since document frequency and N are needed
+    before the scores: the pages are read once.
     """
     _check_mode(n_mode)
     words = page_words(F.col("body"))
@@ -111,12 +109,7 @@ def tfidf_term(pages: DataFrame, term: str, n_mode: str = "tokens") -> DataFrame
         F.size(words).alias("words"),
         (F.size(words) - F.size(F.array_remove(words, term))).alias("hits"),
     )
-    # no title has more hits than words: the filter drops nothing, it keeps both sums in each use
-    per_title = (
-        per_page.groupBy("title")
-        .agg(F.sum("words").alias("words"), F.sum("hits").alias("tf"))
-        .where("words >= tf")
-    )
+    per_title = cut(per_page.groupBy("title").agg(F.sum("words").alias("words"), F.sum("hits").alias("tf")))
     totals = per_title.agg(
         F.sum("words").alias("tokens"),
         F.count(F.lit(1)).alias("documents"),

@@ -17,22 +17,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep_sorted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep ``df`` hashed and sorted on ``keys``, on disk, so that joins on them neither move nor sort it.
+#: Rows that one task sorts and keeps.
+ROWS_PER_PARTITION = 2_000_000
 
-    A lost block is rebuilt from what ``df`` reads, which should be a cut. The caller unpersists.
+
+def keep_sorted(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Keep ``df`` (of about ``rows`` rows) hashed and sorted on ``keys``, on disk, so that joins on them neither move nor sort it.
+
+    The blocks lie on the executors' disks. A lost one is rebuilt from what ``df`` reads, which should
+    be a cut. The caller unpersists. A graph that several jobs use is better kept as a bucketed table.
     """
+    partitions = max(shuffle_partitions(df.sparkSession), -(-rows // ROWS_PER_PARTITION))
     kept = (
-        df.repartition(shuffle_partitions(df.sparkSession), *keys)
+        df.repartition(partitions, *keys)
         .sortWithinPartitions(*keys)
         .persist(StorageLevel.DISK_ONLY)
     )
     # the layout is known to the planner only once it exists
     kept.agg(F.count(F.lit(1))).collect()
     return kept
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than there are cores; larger scans stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -2,7 +2,8 @@
 
 A key is *hot* when it has more rows than ``slot_rows``. With ``slot_rows`` at least
 ``total / max_hot`` there can be no more than ``max_hot`` hot keys, whatever the data, so the list
-of hot keys is the one thing here that is broadcast. A hot key is cut into
+of hot keys is the one thing here that is broadcast, by a 64-bit hash, so that its bytes are bounded too: a
+key that shares a hot key's hash is only slotted without need. A hot key is cut into
 ``fan = ceil(rows / slot_rows)`` slots; the fans of all hot keys add up to at most ``2 * max_hot``.
 """
 
@@ -30,11 +31,13 @@ DEFAULT_LIMITS = SkewLimits()
 
 
 def hot_keys(weights: DataFrame, key: str, weight: str, limits: SkewLimits = DEFAULT_LIMITS) -> DataFrame:
-    """``(key, fan)`` for the keys of ``weights`` (one row per key) that need more than one slot."""
+    """``(hot, fan)``: hashes of the keys of ``weights`` (one row per key) that need more than one slot."""
     total = weights.agg(F.sum(weight).alias("total")).scalar()
     slot_rows = F.greatest(total / F.lit(limits.max_hot), F.lit(float(limits.min_rows)))
-    return weights.where(F.col(weight) > slot_rows).select(
-        key, F.ceil(F.col(weight) / slot_rows).cast("int").alias("fan")
+    return (
+        weights.where(F.col(weight) > slot_rows)
+        .groupBy(F.xxhash64(key).alias("hot"))
+        .agg(F.max(F.ceil(F.col(weight) / slot_rows)).cast("int").alias("fan"))
     )
 
 
@@ -47,32 +50,12 @@ def every_slot(fan: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(fan, F.lit(1)) - 1))
 
 
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    weights: DataFrame | None = None,
-    weight: str = "weight",
-    limits: SkewLimits = DEFAULT_LIMITS,
-) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (few rows per ``key``) without sending a hot key of ``rows`` to one task.
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows``, in which a key may be very frequent, to ``lookup`` with few rows per ``key``.
 
-    ``rows`` must be free of full duplicates. ``weights`` holds the number of rows per key where
-    the caller has it already; otherwise it is counted here.
+    A merge join on the key: its sizes are known when it runs, and adaptive execution then splits
+    the partition of a frequent key of ``rows`` over several tasks, each with the key's few rows of ``lookup``.
+    The hint stands against broadcasting a ``lookup`` whose size the planner can only guess. Both inputs are
+    read once.
     """
-    if weights is None:
-        weights = rows.groupBy(key).agg(F.count(F.lit(1)).alias(weight))
-    hot = hot_keys(weights, key, weight, limits)
-    spread = [name for name in rows.columns if name != key]
-    left = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("slot", slot_of(F.col("fan"), spread))
-        .drop("fan")
-    )
-    right = (
-        lookup.join(F.broadcast(hot), key, "left")
-        .withColumn("slot", every_slot(F.col("fan")))
-        .drop("fan")
-    )
-    return left.join(right, [key, "slot"], how).drop("slot")
+    return rows.join(lookup.hint("merge"), key, how)

@@ -59,12 +59,12 @@ def parse_nodes(lines: DataFrame, rejects: Observation | None = None) -> DataFra
 
 
 def parse_counts(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
-    """``phrase⇥count`` to ``(phrase, cnt)``: two fields, the second a 32-bit integer."""
+    """``phrase⇥count`` to ``(phrase, cnt)``: two fields, the second a 64-bit integer."""
     parts = fields(F.col("value"), "\t")
     number = F.get(parts, F.lit(1))
-    valid = (F.size(parts) == 2) & number.rlike("^[+-]?[0-9]+$") & number.try_cast("int").isNotNull()
+    valid = (F.size(parts) == 2) & number.rlike("^[+-]?[0-9]+$") & number.try_cast("bigint").isNotNull()
     return _keep_valid(lines, valid, rejects).select(
-        parts[0].alias("phrase"), number.try_cast("int").cast("bigint").alias("cnt")
+        parts[0].alias("phrase"), number.try_cast("bigint").alias("cnt")
     )
 
 

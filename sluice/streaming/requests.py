@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.functions.text import query_term
 from sluice.operators.langmodel import suggest
 from sluice.operators.oplog import kv_latest
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits
+
+
+#: Distinct terms of a batch up to which they are broadcast to the model; beyond, both are shuffled.
+BROADCAST_TERMS = 100_000
 
 
 def _start(stream: DataFrame, write_batch, mode: str, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -29,18 +33,49 @@ def _batch_writer(path: str, answer):
     return write_batch
 
 
+def write_model_table(model: DataFrame, name: str, buckets: int) -> DataFrame:
+    """``model`` as a table bucketed and sorted by prefix, so that joins with it leave it where it is."""
+    model.write.mode("overwrite").bucketBy(buckets, "prefix").sortBy("prefix").format("parquet").saveAsTable(name)
+    return model.sparkSession.table(name)
+
+
+def _answer_batch(model: DataFrame, most: int):
+    def answer(batch: DataFrame) -> DataFrame:
+        asked = batch.select("term").where("term is not null").distinct()
+        if asked.limit(most + 1).count() > most:
+            return suggest(asked, model)
+        asked = F.broadcast(asked.withColumn("prefix", query_term(F.col("term"))))
+        return model.join(asked, "prefix").select(
+            "term", "rank", F.col("word").alias("label"), F.col("prob").alias("probability")
+        )
+
+    return answer
+
+
 def suggest_stream(
     terms: DataFrame,
     model: DataFrame,
     path: str,
     checkpoint: str,
     available_now: bool = False,
-    limits: SkewLimits = DEFAULT_LIMITS,
+    broadcast_terms: int = BROADCAST_TERMS,
 ) -> StreamingQuery:
-    """Answer arriving terms from a written ``model``, as :func:`suggest` does, into ``path``."""
-    return _start(
-        terms, _batch_writer(path, lambda batch: suggest(batch, model, limits)), "append", checkpoint, available_now
-    )
+    """Answer arriving terms from a written ``model``, as :func:`suggest` does, into ``path``.
+
+    The terms go to the model: they are broadcast if a batch has at most ``broadcast_terms`` different ones, otherwise
+    they are shuffled, and a model from :func:`write_model_table` still stays in place.
+    """
+    answer = _answer_batch(model, broadcast_terms)
+    write = _batch_writer(path, answer)
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            write(batch, number)
+        finally:
+            batch.unpersist()
+
+    return _start(terms, write_batch, "append", checkpoint, available_now)
 
 
 def kv_latest_stream(
@@ -50,7 +85,11 @@ def kv_latest_stream(
 
     The state has one row per key. Use the RocksDB state store when there are many.
     """
-    return _start(kv_latest(ops), _batch_writer(path, lambda batch: batch), "update", checkpoint, available_now)
+    latest = kv_latest(ops)
+    # so that the folder has a schema before the first batch; an older start's rows stay
+    nothing = ops.sparkSession.createDataFrame([], latest.schema)
+    nothing.write.mode("ignore").parquet(f"{path}/batch=-1")
+    return _start(latest, _batch_writer(path, lambda batch: batch), "update", checkpoint, available_now)
 
 
 def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +97,28 @@ def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("batch", "term", "rank", "label", "probability")
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """``(key, value)`` from the newest change of each key."""
-    changes = spark.read.parquet(path)
-    return changes.groupBy("key").agg(F.max_by("value", "batch").alias("value"))
+def _newest(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("key").agg(F.max_by("value", "batch").alias("value"), F.max("batch").alias("batch"))
+
+
+def compact_latest(spark: SparkSession, path: str, snapshot: str, before: str | None = None) -> None:
+    """Write the newest change of each key to the folder ``snapshot``, from ``path`` and the snapshot ``before``.
+
+    Afterwards only later batches need to be read, and the folders of earlier ones may be removed.
+    """
+    changes = _changes(spark, path, before)
+    _newest(changes).write.parquet(snapshot)
+
+
+def _changes(spark: SparkSession, path: str, snapshot: str | None) -> DataFrame:
+    changes = spark.read.parquet(path).select("key", "value", "batch")
+    if snapshot is None:
+        return changes
+    old = spark.read.parquet(snapshot).select("key", "value", "batch")
+    upto = old.agg(F.coalesce(F.max("batch"), F.lit(-1)).alias("upto")).first()["upto"]
+    return changes.where(F.col("batch") > upto).unionByName(old)
+
+
+def read_latest(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
+    """``(key, value)`` from the newest change of each key; with a ``snapshot``, only batches after it are read."""
+    return _newest(_changes(spark, path, snapshot)).select("key", "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.plans.layout import spread_small_scan
+from sluice.operators.textstats import ngrams
 from sluice.sources.text import split_lines
 
 
@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_scan(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
 
 
 def lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
@@ -33,25 +33,24 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.concat_ws("\t", head, body).alias("value"))
 
 
-def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first one to four words of each benchmark text, the first also padded, and unknown terms."""
+def asked_terms(benchmark: DataFrame) -> DataFrame:
+    """Every run of one to four words of the benchmark texts, the first word of each padded, and unknown terms."""
     words = F.split("text", " ")
-    starts = [F.array_join(F.slice(words, 1, size), " ") for size in range(1, 5)]
+    runs = ngrams(split_lines(benchmark, "text"), max_words=4).select(F.col("phrase").alias("term"))
     padded = F.concat(F.lit(" \t"), F.upper(words[0]), F.lit(" "))
     unknown = F.concat(F.lit("qzx "), F.col("item_id").cast("string"))
-    return (
-        table(spark, sf_dir, "benchmark")
-        .select(F.explode(F.array(*starts, padded, unknown)).alias("term"))
-        .distinct()
-    )
+    return runs.unionByName(benchmark.select(F.explode(F.array(padded, unknown)).alias("term")))
+
+
+def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return asked_terms(table(spark, sf_dir, "benchmark")).distinct()
 
 
 def arcs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From each bulky order line's part to that of the next bulky line of the order."""
+    """From each order line's part to that of the next line of the order."""
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     return (
         table(spark, sf_dir, "lineitem")
-        .where("l_quantity >= 40")
         .select(F.col("l_partkey").alias("src"), F.lead("l_partkey").over(order).alias("dst"))
         .where("dst is not null")
         .distinct()
@@ -109,7 +108,6 @@ def friend_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'F'")
         .groupBy(F.col("o_custkey").alias("userid"))
         .agg(F.max("o_orderdate").alias("date"), F.max("o_orderkey").alias("number"))
         .select("userid", F.date_format("date", "yyyy-MM-dd").alias("time"), F.col("number").cast("string").alias("url"))
