@@ -91,8 +91,8 @@ def parse_edge_list(lines: DataFrame, rejects: Observation | None = None) -> Dat
 
 def parse_seeds(lines: DataFrame) -> DataFrame:
     """Whitespace-separated numbers to distinct ``(seed)``."""
-    word = F.explode(F.split(F.col("value"), r"\s+"))
-    return lines.select(word.try_cast("bigint").alias("seed")).where("seed is not null").distinct()
+    words = lines.select(F.explode(F.split(F.col("value"), r"\s+")).alias("word"))
+    return words.select(F.col("word").try_cast("bigint").alias("seed")).where("seed is not null").distinct()
 
 
 def parse_friend_cells(cells: DataFrame) -> DataFrame:
