@@ -31,6 +31,8 @@ RANDOM_ROWS = 200_000
 IDENTIFIER_ROWS = 4_000
 #: Log-likelihood ratio from which a word counts as random: a thousand to one, for each 16 characters.
 MIN_RATIO = math.log(1000)
+#: Pairs that the share of a letter counts for beside those seen.
+PRIOR_PAIRS = 50
 CHUNK = 128
 
 
@@ -151,16 +153,25 @@ def learn(docs: DataFrame, random_rows: int = RANDOM_ROWS, identifier_rows: int
         .collect()
     )
     width = len(LETTERS)
-    tables = [[1.0] * width * width for _ in range(2)]
+    tables = [[0.0] * width * width for _ in range(2)]
     for row in counts:
         if 0 <= row["pair"] < width * width:
             tables[row["random"]][row["pair"]] += row["count"]
-    for table in tables:
-        for first in range(width):
-            total = sum(table[first * width : (first + 1) * width])
-            for pair in range(first * width, (first + 1) * width):
-                table[pair] = math.log(table[pair] / total)
-    return [a - b for a, b in zip(tables[1], tables[0], strict=True)]
+    identifiers, random_strings = map(_log_shares, tables)
+    return [a - b for a, b in zip(random_strings, identifiers, strict=True)]
+
+
+def _log_shares(counts: list[float]) -> list[float]:
+    """Logarithms of how likely each letter follows another; what is seldom seen leans on how often the letter comes at all."""
+    width = len(LETTERS)
+    letters = [1.0 + sum(counts[second::width]) for second in range(width)]
+    total = sum(letters)
+    found = []
+    for first in range(width):
+        row = counts[first * width : (first + 1) * width]
+        known = sum(row) + PRIOR_PAIRS
+        found += [math.log((n + PRIOR_PAIRS * letters[k] / total) / known) for k, n in enumerate(row)]
+    return found
 
 
 def random_words(text: Column, ratios: list[float]) -> Column:

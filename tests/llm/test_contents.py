@@ -1,0 +1,217 @@
+import random
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.llm import pii, secrets, toxicity
+from sluice.llm.decontamination import clean_text, decontaminate, find_hits
+
+
+def contaminated(df, result):
+    sha = F.sha2(F.array_join("items", ","), 256)
+    return result(df, "row.doc_id", "n_words", "n_hit", F.size("items"), sha, "contaminated")
+
+
+def benchmark_of(table, items):
+    return table("item_id bigint, text string, row string, hash bigint", *[(k, t, None, 3) for k, t in items])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_contamination(table, documents, corpus, result, seed):
+    docs = corpus(seed, 60, 40, "AbC1é")
+    items = [(k, " ".join((t or "").split()[3:30])) for k, t in docs[:12]] + [(500, "ab"), (501, ""), (502, None), (502, "B-b  a")]
+    found = decontaminate(documents(docs), benchmark_of(table, items))
+    assert contaminated(found, result) == sorted(brute.contamination(docs, items), key=repr)
+
+
+def test_contamination_without_broadcast(table, documents, corpus, result, monkeypatch):
+    from sluice.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    docs = corpus(4, 40, 40)
+    items = [(k, (t or "")[5:200]) for k, t in docs[:9]]
+    assert contaminated(decontaminate(documents(docs), benchmark_of(table, items)), result) == sorted(
+        brute.contamination(docs, items), key=repr
+    )
+
+
+def test_contamination_of_awkward_rows(table, documents, edges, result):
+    items = [(1, "no id here and a text that others have as well"), (2, "日本語"), (3, "long " * 20), (None, "other text")]
+    found = decontaminate(documents(edges), benchmark_of(table, items))
+    assert contaminated(found, result) == sorted(brute.contamination(edges, items[:3]), key=repr)
+    assert found.select("row.*").columns == documents(edges).columns
+    assert result(decontaminate(documents([]), benchmark_of(table, items))) == []
+    none = decontaminate(documents(edges), benchmark_of(table, []))
+    assert not any(r["n_hit"] or r["contaminated"] for r in none.collect())
+
+
+def test_hit_words_can_be_taken_out(table, documents, result):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    docs = documents([(1, f"Before, {item.upper()} after"), (2, "clean"), (3, None)])
+    assert result(clean_text(docs, benchmark_of(table, [(1, item)])), "row.doc_id", "kept_words") == [
+        (1, ["before", "after"]), (2, ["clean"]), (3, []),
+    ]
+    assert result(find_hits(docs, benchmark_of(table, [(1, item)])), "_id", "start", "size", "item") == [(1, 1, 13, "1")]
+
+
+SECRETS = [
+    (1, "password: hunter22 and token='ab' and API_KEY = \"Zx9/+=.-_abc\" Secret=secret=12345"),
+    (2, "AKIA" + "A1B2" * 4 + " AKIA" + "Z" * 15 + " 😀AKIA" + "Q" * 30),
+    (3, "0123456789abcdef" * 2 + " " + "a" * 23 + " " + "a" * 24 + "G" + "f" * 40),
+    (4, "passwd:token:abcdefgh password=" + "deadbeef" * 4 + " ſecret=abcdefgh toKen: abcdefgh"),
+    (50, "the ordinary words of an essay go on here for a while, international understanding"),
+    (60, "key Zx8kQ2pLw9RtY4mN7bVc1sDf5gHj end"),
+]
+
+
+def learnt(documents):
+    random.seed(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(100 + k, "token=" + "".join(random.choices(letters, k=32))) for k in range(120)]
+    words = "internationalisation understanding_of the common identifiers get_number_of_rows2 set_value readAllLines".split()
+    prose = [(300 + k, " ".join(random.choices(words, k=60))) for k in range(60)]
+    return secrets.learn(documents(keys + prose))
+
+
+def test_secrets(documents, edges, result):
+    ratios = learnt(documents)
+    docs = SECRETS + edges
+    found = secrets.find_secrets(documents(docs), ratios)
+    spans = [(r["row"]["doc_id"], r["row"]["text"], [(s["start"], s["kind"], s["end"]) for s in r["spans"]]) for r in found.collect()]
+    assert len(spans) == len(docs)
+    for doc, text, got in spans:
+        assert [s for s in got if s[1] < 3] == brute.secrets(text), doc
+        assert got == sorted(got)
+    extra = {doc: [s for s in got if s[1] == 3] for doc, _, got in spans}
+    assert extra[60] == [(4, 3, 32)] and not extra[50]
+    assert found.select("row.*").columns == documents(docs).columns
+    assert result(secrets.find_secrets(documents([]), ratios)) == []
+
+
+def test_many_secrets_in_one_text(documents):
+    text = "é password=abcdef1 " * 3000
+    row = secrets.find_secrets(documents([(1, text)]), [0.0] * len(secrets.LETTERS) ** 2).first()
+    assert [(s["start"], s["kind"], s["end"]) for s in row["spans"]] == brute.secrets(text)
+
+
+def test_secret_model_without_samples(documents):
+    assert len(secrets.learn(documents([]))) == len(secrets.LETTERS) ** 2
+
+
+PERSONAL = [
+    (1, "mail a.b+c@x-y.org, a@b.c%d@e.f or @x.y and q@z. me@host"),
+    (2, "ip 10.0.0.255, 256.1.1.1, 1.2.3, 1.2.3.4.5, 000255.1.1.1 and 99999999999999999999.1.1.1"),
+    (3, "card 4111 1111 1111 1111, 4111-1111-1111-1112, 12 34 5678"),
+    (4, "call +1 (328) 555-8087 or +44.20.7946.0958 or +1-2 or +123456789012345678"),
+    (5, "😀 a@b.co 1.1.1.1 4111111111111111 +41 44 668 18 00"),
+]
+
+
+def test_personal_data(documents, edges, result):
+    docs = PERSONAL + edges
+    model = pii.BoostedTrees(0.0, (), float("inf"))
+    found = pii.find_personal(documents(docs), model).collect()
+    texts = {}
+    for doc, text in docs:
+        texts.setdefault(doc, []).append(brute.personal(text))
+    for row in found:
+        assert [tuple(s) for s in row["spans"]] in texts[row["doc_id"]]
+    assert len(found) == len(docs)
+    assert result(pii.find_personal(documents([]), model)) == []
+
+
+def test_boosted_trees_add_spans_like_the_base_ones(documents):
+    random.seed(2)
+
+    def digits(n):
+        return "".join(random.choices("0123456789", k=n))
+
+    docs = [(k, f"call me at +{digits(2)} {digits(3)} {digits(3)} {digits(4)} today") for k in range(300)]
+    docs += [(1000 + k, f"order no {digits(5)}/{digits(3)} shipped") for k in range(300)]
+    model = pii.learn(documents(docs))
+    assert model.trees and model.threshold < float("inf")
+    text = "call me at +12 345 678 9012 or order no 12345/678 shipped"
+    base = pii.base_spans(text)
+    assert base == brute.personal(text)
+    assert not [s for s in pii.added_spans(text, base, model) if "12345/678" in text[s[1] : s[2]]]
+    # held out: fresh candidates of both kinds
+    right = 0
+    for _ in range(200):
+        good = f"call me at +{digits(2)} {digits(3)} {digits(3)} {digits(4)} today"
+        bad = f"order no {digits(5)}/{digits(3)} shipped"
+        for text, label in ((good, True), (bad, False)):
+            odds = [model.log_odds(__import__("numpy").array([pii.features(text, *c)]))[0] for c in pii.candidates(text)]
+            right += (max(odds) >= model.threshold) == label
+    assert right >= 380
+
+
+def test_personal_model_without_samples(documents, edges):
+    assert pii.learn(documents([])).threshold == float("inf")
+    assert pii.learn(documents(edges)).trees == ()
+
+
+def test_redaction():
+    assert pii.redact("a b@c.d e", [("email", 2, 7)]) == "a <email> e"
+    assert pii.redact("0123456789", [("card", 1, 6), ("phone", 4, 8)]) == "0<card>89"
+
+
+def toxic_corpus(seed, n=400):
+    random.seed(seed)
+    calm = "the house by sea is quiet and we walk there each day with friends trash can clownfish".split()
+    rude = ["idiot", "losers", "IDI0T", "l0ser", "сlown", "clowns"]
+    docs, labels = [], []
+    for k in range(n):
+        words = random.choices(calm, k=random.randint(20, 120))
+        toxic = k % 3 == 0
+        for _ in range(random.randint(2, 5) if toxic else 0):
+            words.insert(random.randrange(len(words)), random.choice(rude))
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    return docs, labels
+
+
+def labels_of(table, rows):
+    return table("doc_id bigint, quality int, toxic int", *[(d, None, t) for d, t in rows])
+
+
+def test_toxicity_on_held_out_documents(table, documents, edges):
+    docs, labels = toxic_corpus(1)
+    model = toxicity.learn(documents(docs), labels_of(table, labels + [(None, 1), (3, None), (77_777, 1)]))
+    found = toxicity.toxicity(documents(docs + [(None, "an idiot"), (9999, None), (9998, "")]), model).collect()
+    known = dict(labels)
+    held = [r for r in found if r["held_out"] and r["doc_id"] in known]
+    assert held and sum(r["predicted"] == known[r["doc_id"]] for r in held) >= 0.98 * len(held)
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[9999]["predicted"] == by_id[9998]["predicted"] == 0
+    assert by_id[None]["held_out"] is False
+    assert all(0 <= r["score"] <= 1 for r in found)
+    assert len(toxicity.toxicity(documents(edges), model).collect()) == len(edges)
+    assert toxicity.toxicity(documents([]), model).collect() == []
+    kept = toxicity.drop_toxic(documents(docs), model)
+    assert kept.columns == documents(docs).columns
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, r in by_id.items() if not r["predicted"] and d in known}
+
+
+def test_held_out_labels_are_not_learnt_from(table, documents):
+    docs, labels = toxic_corpus(2)
+    import zlib
+
+    wrong = [(d, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, t in labels]
+    texts = documents(docs)
+    assert toxicity.learn(texts, labels_of(table, labels)) == toxicity.learn(texts, labels_of(table, wrong))
+
+
+def test_exceptions_and_folding():
+    model = toxicity.ToxicityModel({"ciown": 3.0, "trash ": 2.0}, frozenset({"trash can"}), (-2.0, 2.0, 0.0, 0.0))
+    matcher = toxicity._Matcher(model.entries, model.exceptions)
+    assert matcher.features("the trash can") == (0.0, 0.0, 0.0)
+    assert matcher.features("the trash heap")[0] > 0
+    assert matcher.features("CL0WNS")[0] > 0 and matcher.features("с1own")[0] > 0
+    assert matcher.features("uptown trashy") == (0.0, 0.0, 0.0)
+
+
+def test_no_model_without_both_classes(table, documents, edges):
+    assert toxicity.learn(documents(edges), labels_of(table, [(5, 1), (8, 1)])) is None
+    assert toxicity.learn(documents([]), labels_of(table, [])) is None
+    assert {r["score"] for r in toxicity.toxicity(documents(edges), None).collect()} == {0.0}
