@@ -66,7 +66,11 @@ def kv_read_asof(ops: DataFrame, limits: SkewLimits = DEFAULT_LIMITS) -> DataFra
 
 
 def kv_latest(ops: DataFrame) -> DataFrame:
-    """``(key, value)`` after all puts."""
+    """``(key, value)`` after all puts.
+
+    Spark sorts by key for an aggregate of this kind, before the partial step and after the shuffle; a key moves as one row
+    from each task.
+    """
     return (
         ops.where("op = 'put' and key is not null")
         .groupBy("key")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,7 +32,7 @@ def build_session(app_name: str = "sluice", master: str | None = None, **conf: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir``; only a local master may fall back to a temporary folder."""
+    """Use ``spark.checkpoint.dir``; only a local master may fall back to a temporary folder, which goes at the end."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is not None:
@@ -40,6 +42,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="sluice-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

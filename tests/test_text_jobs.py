@@ -87,7 +87,7 @@ def test_tfidf(table, result):
         sluice.tfidf(pages_of_fixture(table), n_mode="words")
 
 
-def test_tfidf_reads_its_input_once_and_broadcasts_no_vocabulary(spark, tmp_path):
+def test_tfidf_broadcasts_no_vocabulary(spark, tmp_path):
     path = str(tmp_path / "pages")
     spark.createDataFrame([(str(i), f"a b{i}") for i in range(50)], "title string, body string").write.parquet(path)
     plan = sluice.tfidf(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
