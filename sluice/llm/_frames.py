@@ -15,7 +15,8 @@ from sluice.session import ensure_checkpoint_dir
 #: Stands for a null id inside a job, so that joins and orders treat it as one id before all others.
 NO_ID = -(2**63)
 
-SLICE_BYTES = 4 << 20
+#: Bytes of text that a task looks at together; numpy arrays take a small multiple of eight times that.
+SLICE_BYTES = 1 << 20
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

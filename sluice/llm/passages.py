@@ -17,17 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm._frames import KEY, column, row_key, spans_of, text_buffer, text_slices, written
+from sluice.llm._frames import column, hashes, id_of, spans_of, text_buffer, text_slices, written
 from sluice.llm._words import _powers_for, byte_values, mix, run_hashes, word_hashes, word_spans
 
 #: Units that are looked at together. A place in them takes the low bits of a minimizer's rank.
 CHUNK_BITS = 20
 CHUNK = 1 << CHUNK_BITS
 #: A key in more slices of text than this is *crowded*: its windows are met one by one instead.
-CROWDED = 256
+CROWDED = 1024
 #: Bytes of segments that are indexed together; a group is never cut.
 COLLECTION_BYTES = 1 << 20
 _GRAM_STEP = 0xA0761D6478BD642F
@@ -130,56 +130,64 @@ def _chunk_segments(values, low: int, count: int, begins, ends, grain: Grain):
     return text, grams[place], start + low, stop - start
 
 
-def _handle(batch: pa.RecordBatch) -> np.ndarray:
-    """One number for a row's id and text."""
-    parts = [column(batch, k).astype(np.int64).view(np.uint64) for k in range(len(KEY))]
-    return mix(mix(parts[0] + _SECOND) ^ parts[1] ^ mix(parts[2])).view(np.int64)
+#: A document: its id, and a hash of its text that tells rows of one id apart.
+DOCUMENT = ["_id", "_t1"]
+
+
+def document_key() -> list[Column]:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [id_of().alias("_id"), hashes(text)[0].alias("_t1")]
 
 
 # kinds of a row: a key that a slice has once, one that it has several times, a decided document of the latter
 LONE, ANNOUNCED, DECIDED = range(3)
+MEETING = "route bigint, key bigint, owner bigint, kind tinyint"
+MET = "key bigint, owner bigint, crowded boolean"
 
 
-def _find_keys(grain: Grain, within: bool):
-    """Keys of each slice: those it has once are to be met with other slices, the others are decided here.
+def meeting_rows(key: np.ndarray, owner: np.ndarray, within: bool = False) -> pa.RecordBatch:
+    """Rows by which the owners of a key in this slice meet those in others.
 
-    A key that a slice holds several times goes out once, whatever its number, so no key has more rows
-    than there are slices.
+    A key that the slice has once is sent as it is. One that it has several times is decided here and goes out once, whatever
+    its number, so no key has more rows than there are slices. ``within`` counts every occurrence, otherwise
+    owners are counted.
     """
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    heads = np.ones(len(key), bool)
+    heads[1:] = key[1:] != key[:-1]
+    fresh = heads.copy()
+    fresh[1:] |= owner[1:] != owner[:-1]
+    group = np.cumsum(heads) - 1
+    times = np.bincount(group, weights=None if within else fresh)
+    announced = key[heads][times > 1]
+    local = (times[group] > 1)[fresh]
+    key, owner = key[fresh], owner[fresh]
+    none = np.zeros(len(announced), np.int64)
+    sizes = (int((~local).sum()), len(announced), int(local.sum()))
+    columns = (
+        [key[~local], announced, owner[local]],
+        [key[~local], announced, key[local]],
+        [owner[~local], none, owner[local]],
+        [np.full(n, kind, np.int8) for kind, n in enumerate(sizes)],
+    )
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(parts)) for parts in columns], names=["route", "key", "owner", "kind"]
+    )
+
+
+def meet(rows: DataFrame, crowded: int) -> DataFrame:
+    """``(key, owner, crowded)``: the owners of keys that two owners have, and each key of more than ``crowded`` slices by itself."""
+    return rows.repartition("route").sortWithinPartitions("key").mapInArrow(_meet_keys(crowded), MET)
+
+
+def _find_keys(grain: Grain, within: bool):
+    """From ``(owner, text)``: the keys of the segments of each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, len(KEY)):
-            handle = _handle(batch)
-            found = segments(grain.units(batch.column(len(KEY))), grain)
-            owner = handle[found.text]
-            order = np.lexsort((owner, found.key))
-            key, owner = found.key[order], owner[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-            key_starts = np.ones(len(key), bool)
-            key_starts[1:] = key[1:] != key[:-1]
-            group = np.cumsum(key_starts) - 1
-            # by documents, or by occurrences where repeats inside one document count as well
-            times = np.bincount(group, weights=None if within else fresh)
-            local = times[group] > 1
-            heads = np.flatnonzero(key_starts)
-            key, owner, local = key[fresh], owner[fresh], local[fresh]
-            lone = ~local
-            announced = found.key[order][heads][times > 1]
-            kinds = [np.full(n, kind, np.int8) for kind, n in enumerate((lone.sum(), len(announced), local.sum()))]
-            none = np.zeros(len(announced), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(parts))
-                    for parts in (
-                        [key[lone], announced, owner[local]],
-                        [key[lone], announced, key[local]],
-                        [owner[lone], none, owner[local]],
-                        kinds,
-                    )
-                ],
-                names=["route", "key", "owner", "kind"],
-            )
+        for batch in text_slices(batches, 1):
+            found = segments(grain.units(batch.column(1)), grain)
+            yield meeting_rows(found.key, column(batch, 0)[found.text], within)
 
     return run
 
@@ -240,94 +248,155 @@ def _found_rows(keys: np.ndarray, owners: np.ndarray, names) -> pa.RecordBatch:
     )
 
 
+TEXT, KEYS = 2, 3
+
+
 def _wanted(batch: pa.RecordBatch, grain: Grain) -> tuple[_Units, Segments]:
-    """The segments of a slice of ``(KEY, text, keys)`` whose key is among the row's ``keys``."""
-    units = grain.units(batch.column(len(KEY)))
+    """The segments of a slice of ``(_id, _t1, text, keys)`` whose key is among the row's ``keys``."""
+    units = grain.units(batch.column(TEXT))
     found = segments(units, grain)
-    lists = batch.column(len(KEY) + 1)
+    lists = batch.column(KEYS)
     wanted = lists.flatten().to_numpy()
-    sizes = np.diff(lists.offsets.to_numpy())
-    row = np.repeat(np.arange(batch.num_rows), sizes)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
     # pairs of text and key, matched by a sort of both
     both_row = np.concatenate([row, found.text])
     both_key = np.concatenate([wanted, found.key])
     asks = np.arange(len(both_row)) >= len(row)
     order = np.lexsort((asks, both_key, both_row))
     heads = np.ones(len(order), bool)
-    heads[1:] = (both_row[order][1:] != both_row[order][:-1]) | (both_key[order][1:] != both_key[order][:-1])
-    group = np.cumsum(heads) - 1
+    heads[1:] = _differ(order, both_row, both_key)
     has = ~asks[order][heads]
     keep = np.zeros(len(order), bool)
-    keep[order] = has[group]
+    keep[order] = has[np.cumsum(heads) - 1]
     mask = keep[len(row) :]
     return units, Segments(*[getattr(found, name)[mask] for name in ("text", "key", "first", "windows", "at")])
 
 
-def _names_of(units: _Units, found: Segments, grain: Grain) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each segment's content."""
-    stop = found.at + found.windows + grain.window - 1
-    one = run_hashes(units.values, found.at, stop)
-    two = run_hashes(mix(units.values ^ _SECOND), found.at, stop)
+def _differ(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """For all but the first in ``order``: whether it differs from the one before in any of ``columns``."""
+    found = np.zeros(max(len(order) - 1, 0), bool)
+    for values in columns:
+        ordered = values[order]
+        found |= ordered[1:] != ordered[:-1]
+    return found
+
+
+def _names_of(units: _Units, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the ``size`` units from ``at`` on."""
+    one = run_hashes(units.values, at, at + size)
+    two = run_hashes(mix(units.values ^ _SECOND), at, at + size)
     return one.view(np.int64), two.view(np.int64)
 
 
-def _keys_of(batch: pa.RecordBatch, rows: np.ndarray) -> list[pa.Array]:
-    return [pa.array(column(batch, k)[rows]) for k in range(len(KEY))]
+# kinds of a place: windows that occur earlier, and a segment that may have some
+SPAN, OPEN = 0, 1
+_PLACE_NAMES = ["kind", "key", "c1", "c2", "_id", "_t1", "low", "high"]
+PLACES = "kind tinyint, key bigint, c1 bigint, c2 bigint, _id bigint, _t1 bigint, low bigint, high bigint"
+
 
+def _decide(key, one, two, ids, texts, low, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(order, first, later)``: an order by content and place, the head of each content in it, and which occur earlier for sure."""
+    order = np.lexsort((low, texts, ids, two, one, key))
+    first = np.ones(len(order), bool)
+    first[1:] = _differ(order, key, one, two)
+    if within:
+        same = np.zeros(len(order), bool)
+        same[1:] = ~first[1:] & ~_differ(order, ids, texts, low)
+        return order, first, ~first & ~same
+    ordered = ids[order]
+    least = ordered[first][np.cumsum(first) - 1]
+    return order, first, ordered > least
 
-def _distinct_segments(grain: Grain):
-    """Each distinct segment of a slice with its content and its first place."""
+
+def _place_rows(kind: int, columns: list[np.ndarray]) -> list[np.ndarray]:
+    return [np.full(len(columns[0]), kind, np.int8), *columns]
+
+
+def _merged_spans(ids, texts, low, high) -> list[np.ndarray]:
+    """Spans of neighbouring windows as one."""
+    order = np.lexsort((low, texts, ids))
+    ids, texts, low, high = ids[order], texts[order], low[order], high[order]
+    heads = np.ones(len(order), bool)
+    heads[1:] = (ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1]) | (low[1:] > high[:-1] + 1)
+    tails = np.append(heads[1:], True)[: len(heads)]
+    none = np.zeros(int(heads.sum()), np.int64)
+    return [none, none, none, ids[heads], texts[heads], low[heads], high[tails]]
+
+
+def _places(grain: Grain, within: bool):
+    """The segments of each slice: one place for each content, and what occurs earlier in the same slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, len(KEY)):
+        for batch in text_slices(batches, TEXT):
             units, found = _wanted(batch, grain)
-            one, two = _names_of(units, found, grain)
-            order = np.lexsort((found.first, *[column(batch, k)[found.text] for k in reversed(range(len(KEY)))], two, one, found.key))
-            heads = np.ones(len(order), bool)
-            for part in (found.key, one, two):
-                sorted_part = part[order]
-                heads[1:] &= sorted_part[1:] == sorted_part[:-1]
-            heads[1:] = ~heads[1:]
-            pick = order[heads]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.key[pick]), pa.array(one[pick]), pa.array(two[pick]), *_keys_of(batch, found.text[pick])]
-                + [pa.array(found.first[pick]), pa.array(found.windows[pick])]
-                + [pa.array(units.contents(found.at[pick], found.windows[pick] + grain.window - 1), pa.binary())],
-                names=["key", "c1", "c2", *KEY, "first", "windows", "content"],
-            )
+            one, two = _names_of(units, found.at, found.windows + grain.window - 1)
+            ids, texts = column(batch, 0)[found.text], column(batch, 1)[found.text]
+            order, _, later = _decide(found.key, one, two, ids, texts, found.first, within)
+            high = found.first + found.windows - 1
+            gone, left = order[later], order[~later]
+            spans = _place_rows(SPAN, _merged_spans(ids[gone], texts[gone], found.first[gone], high[gone]))
+            open_ = _place_rows(OPEN, [x[left] for x in (found.key, one, two, ids, texts, found.first, high)])
+            columns = [np.concatenate(pair) for pair in zip(spans, open_, strict=True)]
+            route = np.concatenate([spans[5], open_[1]])
+            yield pa.RecordBatch.from_arrays([pa.array(route), *map(pa.array, columns)], names=["route", *_PLACE_NAMES])
 
     return run
 
 
-def _places(grain: Grain):
-    """Every occurrence of a segment."""
+def _merge_places(within: bool):
+    """From rows sorted by key: spans, those of places that others precede, and open places whose key has several contents."""
+
+    def answer(columns: list[np.ndarray]) -> list[np.ndarray]:
+        key, one, two, ids, texts, low, high = columns
+        order, first, later = _decide(key, one, two, ids, texts, low, within)
+        ordered = key[order]
+        heads = np.ones(len(order), bool)
+        heads[1:] = ordered[1:] != ordered[:-1]
+        group = np.cumsum(heads) - 1
+        several = np.bincount(group, weights=first)[group] > 1
+        gone, left = order[later], order[~later & several]
+        spans = _place_rows(SPAN, _merged_spans(ids[gone], texts[gone], low[gone], high[gone]))
+        open_ = _place_rows(OPEN, [x[left] for x in columns])
+        return [np.concatenate(pair) for pair in zip(spans, open_, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, len(KEY)):
-            units, found = _wanted(batch, grain)
-            one, two = _names_of(units, found, grain)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.key), pa.array(one), pa.array(two), *_keys_of(batch, found.text)]
-                + [pa.array(found.first), pa.array(found.windows)],
-                names=["key", "c1", "c2", *KEY, "first", "windows"],
-            )
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            columns = [column(batch, k + 1) for k in range(len(_PLACE_NAMES))]
+            decided = columns[0] == SPAN
+            yield _batch([x[decided] for x in columns])
+            fresh = [x[~decided] for x in columns[1:]]
+            held = fresh if held is None else [np.append(a, b) for a, b in zip(held, fresh, strict=True)]
+            if len(held[0]):
+                # the last group may go on in the next batch
+                cut = int(np.searchsorted(held[0], held[0][-1]))
+                yield _batch(answer([x[:cut] for x in held]))
+                held = [x[cut:] for x in held]
+        if held is not None:
+            yield _batch(answer(held))
 
     return run
 
 
-def _window_places(grain: Grain):
-    """Every single window of the segments, by two hashes of its content."""
+def _batch(columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=_PLACE_NAMES)
+
+
+def _contents(grain: Grain):
+    """From ``(_id, _t1, text, places)``: each open place with its content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, len(KEY)):
-            units, found = _wanted(batch, grain)
-            at = np.repeat(found.at, found.windows) + spans_of(found.windows)
-            first = np.repeat(found.first, found.windows) + spans_of(found.windows)
-            one = run_hashes(units.values, at, at + grain.window).view(np.int64)
-            two = run_hashes(mix(units.values ^ _SECOND), at, at + grain.window).view(np.int64)
+        for batch in text_slices(batches, TEXT):
+            units = grain.units(batch.column(TEXT))
+            lists = batch.column(KEYS)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            key, one, two, low, high = (x.to_numpy() for x in lists.flatten().flatten())
+            at = (np.cumsum(units.counts) - units.counts)[row] + low
+            raw = units.contents(at, high - low + grain.window)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one), pa.array(two), *_keys_of(batch, np.repeat(found.text, found.windows)), pa.array(first)],
-                names=["c1", "c2", *KEY, "first"],
+                [pa.array(x) for x in (key, one, two, column(batch, 0)[row], column(batch, 1)[row], low, high)]
+                + [pa.array(raw, pa.binary())],
+                names=[*_PLACE_NAMES[1:], "content"],
             )
 
     return run
@@ -335,7 +404,7 @@ def _window_places(grain: Grain):
 
 @dataclass
 class Collection:
-    """Distinct segments, sorted by key; ``document`` ranks their first places' documents, ``ids`` are the ids."""
+    """Segments sorted by key; ``document`` ranks their documents by id, ``first`` is the place in it."""
 
     key: np.ndarray
     document: np.ndarray
@@ -345,74 +414,74 @@ class Collection:
     contents: list[bytes]
 
 
-#: From a collection: for each run of windows of a segment ``(segment, from, to, best)``. Segments and windows that
-#: are found nowhere else may be left out.
-Index = Callable[[Collection], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-
-
-def _merge_equal(columns: dict[str, np.ndarray], contents: list[bytes]) -> tuple[dict[str, np.ndarray], list[bytes]]:
-    """One row for each segment of several slices, with its first place."""
-    order = np.lexsort([columns[name] for name in ("first", *reversed(KEY), "c2", "c1", "key")])
-    heads = np.ones(len(order), bool)
-    for name in ("key", "c1", "c2"):
-        part = columns[name][order]
-        heads[1:] &= part[1:] == part[:-1]
-    heads[1:] = ~heads[1:]
-    pick = order[heads]
-    return {name: values[pick] for name, values in columns.items()}, [contents[k] for k in pick.tolist()]
+#: From a collection: the runs of windows ``(segment, from, to)`` that another segment has earlier.
+Index = Callable[[Collection], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _indexed(index: Index):
     """Collections of whole groups from rows sorted by key, each given to ``index``."""
-    names = ["key", "c1", "c2", *KEY, "first", "windows"]
 
-    def answer(columns: dict[str, np.ndarray], contents: list[bytes]) -> pa.RecordBatch:
-        columns, contents = _merge_equal(columns, contents)
-        documents = np.lexsort([columns[name] for name in reversed(KEY)])
+    def answer(columns: list[np.ndarray], contents: list[bytes]) -> pa.RecordBatch:
+        key, one, two, ids, texts, low, high = columns
+        # a document that the table holds twice gives its places twice
+        order = np.lexsort((low, texts, ids, two, one, key))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = _differ(order, key, one, two, ids, texts, low)
+        pick = order[fresh]
+        key, ids, texts, low, high = (x[pick] for x in (key, ids, texts, low, high))
+        documents = np.lexsort((texts, ids))
         steps = np.zeros(len(documents), bool)
-        for name in KEY:
-            steps[1:] |= columns[name][documents][1:] != columns[name][documents][:-1]
+        steps[1:] = _differ(documents, ids, texts)
         rank = np.empty(len(documents), np.int64)
         rank[documents] = np.cumsum(steps)
-        segment, low, high, best = index(
-            Collection(columns["key"], rank, columns["_id"], columns["first"], columns["windows"], contents)
-        )
-        order = np.argsort(segment, kind="stable")
-        counts = np.bincount(segment, minlength=len(contents))
-        runs = pa.ListArray.from_arrays(
-            pa.array(np.append(0, np.cumsum(counts)), pa.int32()),
-            pa.StructArray.from_arrays(
-                [pa.array(x[order], pa.int64()) for x in (low, high, best)], names=["low", "high", "best"]
-            ),
-        )
-        return pa.RecordBatch.from_arrays([*[pa.array(columns[name]) for name in names[:-1]], runs], names=[*names[:-1], "runs"])
+        found = Collection(key, rank, ids, low, high - low + 1, [contents[k] for k in pick.tolist()])
+        segment, start, stop = index(found)
+        begin = low[segment]
+        spans = _merged_spans(ids[segment], texts[segment], begin + start, begin + stop)
+        return pa.RecordBatch.from_arrays(list(map(pa.array, spans[3:])), names=[*DOCUMENT, "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        held: list[np.ndarray] = []
         contents: list[bytes] = []
         for batch in batches:
-            fresh = {name: column(batch, k) for k, name in enumerate(names)}
-            held = {name: np.append(held[name], fresh[name]) for name in names} if contents else fresh
-            contents += batch.column(len(names)).to_pylist()
+            fresh = [column(batch, k) for k in range(len(_PLACE_NAMES) - 1)]
+            held = [np.append(a, b) for a, b in zip(held, fresh, strict=True)] if contents else fresh
+            contents += batch.column(len(_PLACE_NAMES) - 1).to_pylist()
             if sum(map(len, contents)) < COLLECTION_BYTES:
                 continue
             # the last group may go on in the next batch
-            cut = int(np.searchsorted(held["key"], held["key"][-1])) if len(contents) else 0
+            cut = int(np.searchsorted(held[0], held[0][-1]))
             if cut:
-                yield answer({name: values[:cut] for name, values in held.items()}, contents[:cut])
-                held, contents = {name: values[cut:] for name, values in held.items()}, contents[cut:]
+                yield answer([x[:cut] for x in held], contents[:cut])
+                held, contents = [x[cut:] for x in held], contents[cut:]
         if contents:
             yield answer(held, contents)
 
     return run
 
 
-_PLACE = "key bigint, c1 bigint, c2 bigint, _id bigint, _t1 bigint, _t2 bigint, first bigint, windows bigint"
+def _window_places(grain: Grain):
+    """Every single window of the wanted segments, by two hashes of its content."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, TEXT):
+            units, found = _wanted(batch, grain)
+            step = spans_of(found.windows)
+            at = np.repeat(found.at, found.windows) + step
+            one, two = _names_of(units, at, np.full(len(at), grain.window))
+            text = np.repeat(found.text, found.windows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (one, two, column(batch, 0)[text], column(batch, 1)[text])]
+                + [pa.array(np.repeat(found.first, found.windows) + step)],
+                names=["c1", "c2", *DOCUMENT, "low"],
+            )
+
+    return run
 
 
 @dataclass
 class Repeats:
-    """``texts`` (KEY, text) that may hold repeats, and ``spans`` (KEY, low, high): windows to remove, by their first unit."""
+    """``texts`` (DOCUMENT, text) that may hold repeats, and ``spans`` (DOCUMENT, low, high): windows to remove, by their first unit."""
 
     texts: DataFrame
     spans: DataFrame
@@ -421,72 +490,59 @@ class Repeats:
 def repeated_windows(docs: DataFrame, grain: Grain, index: Index, within: bool, crowded: int = CROWDED) -> Repeats:
     """The windows of ``docs`` (``doc_id``, ``text``) that occur earlier.
 
-    With ``within``, earlier is a smaller id, or the same document and an earlier start; ``index`` gives ``best`` 1 for
-    windows that a segment other than the first place of its own has earlier. Without, earlier is a smaller id
-    alone, and ``best`` is the least id with the window.
+    With ``within``, earlier is a smaller id, or the same document and an earlier start. Without, it is a smaller id alone.
+    Of equal segments only the first place is open (without ``within``, all places of the first id); the others are
+    decided. An open place whose key has other contents too goes to ``index`` with its content.
     """
-    rows = docs.select(*row_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    met = written(
-        rows.mapInArrow(_find_keys(grain, within), "route bigint, key bigint, owner bigint, kind tinyint")
-        .repartition("route")
-        .sortWithinPartitions("key")
-        .mapInArrow(_meet_keys(crowded), "key bigint, owner bigint, crowded boolean")
-    )
+    rows = docs.select(*document_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("owner", F.xxhash64(*DOCUMENT))
+    met = written(meet(rows.select("owner", "text").mapInArrow(_find_keys(grain, within), MEETING), crowded))
     names = met.where("crowded").select("key").distinct()
+    owned = met.where("not crowded")
+    lists = owned.groupBy("owner").agg(F.collect_set("key").alias("keys"), F.array().cast("array<bigint>").alias("crowds"))
     is_crowded = not names.isEmpty()
-    owned = met.where("not crowded").groupBy("owner").agg(F.collect_set("key").alias("keys"))
-    handled = rows.mapInArrow(_with_handle, "_id bigint, _t1 bigint, _t2 bigint, text string, owner bigint")
-    texts = written(handled.join(owned.hint("merge"), "owner").select(*KEY, "text", "keys"))
-    usual = texts
     if is_crowded:
-        keys = texts.select(*KEY, F.explode("keys").alias("key")).distinct()
-        split = keys.join(names.withColumn("crowd", F.lit(True)).hint("merge"), "key", "left")
-        lists = split.groupBy(*KEY).agg(
+        split = owned.distinct().join(names.withColumn("crowd", F.lit(True)).hint("merge"), "key", "left")
+        lists = split.groupBy("owner").agg(
             F.collect_list(F.when(F.col("crowd").isNull(), F.col("key"))).alias("keys"),
-            F.collect_list(F.when(F.col("crowd"), F.col("key"))).alias("crowded_keys"),
+            F.collect_list(F.when(F.col("crowd"), F.col("key"))).alias("crowds"),
         )
-        texts = written(texts.drop("keys").join(lists.hint("merge"), KEY))
-        usual = texts.select(*KEY, "text", "keys")
+    texts = written(rows.join(lists.hint("merge"), "owner").select(*DOCUMENT, "text", "keys", "crowds"))
 
-    strings = (
-        usual.mapInArrow(_distinct_segments(grain), f"{_PLACE}, content binary")
+    places = (
+        texts.select(*DOCUMENT, "text", "keys")
+        .mapInArrow(_places(grain, within), f"route bigint, {PLACES}")
+        .repartition("route")
+        .sortWithinPartitions("key")
+        .mapInArrow(_merge_places(within), PLACES)
+    )
+    places = written(places)
+    open_ = places.where(F.col("kind") == OPEN).groupBy(*DOCUMENT)
+    open_ = open_.agg(F.collect_list(F.struct("key", "c1", "c2", "low", "high")).alias("places"))
+    indexed = (
+        texts.select(*DOCUMENT, "text")
+        .join(open_.hint("merge"), DOCUMENT)
+        .select(*DOCUMENT, "text", "places")
+        .mapInArrow(_contents(grain), PLACES.removeprefix("kind tinyint, ") + ", content binary")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(
-            _indexed(index),
-            "key bigint, c1 bigint, c2 bigint, _id bigint, _t1 bigint, _t2 bigint, first bigint, "
-            "runs array<struct<low:bigint,high:bigint,best:bigint>>",
-        )
+        .mapInArrow(_indexed(index), "_id bigint, _t1 bigint, low bigint, high bigint")
     )
-    firsts = strings.select("key", "c1", "c2", F.struct(*KEY, "first").alias("place"), "runs")
-    places = usual.mapInArrow(_places(grain), _PLACE).join(firsts.hint("merge"), ["key", "c1", "c2"])
-    spans = places.select(*KEY, "first", F.explode(_spans(within)).alias("span"))
-    found = spans.select(*KEY, (F.col("first") + F.col("span.low")).alias("low"), (F.col("first") + F.col("span.high")).alias("high"))
+    spans = places.where(F.col("kind") == SPAN).select(*DOCUMENT, "low", "high").unionByName(written(indexed))
     if is_crowded:
-        single = texts.select(*KEY, "text", F.col("crowded_keys").alias("keys")).mapInArrow(
-            _window_places(grain), "c1 bigint, c2 bigint, _id bigint, _t1 bigint, _t2 bigint, first bigint"
-        )
-        single = written(single)
-        place = F.struct(*KEY, "first")
-        least = single.groupBy("c1", "c2").agg(F.min(place).alias("least"))
-        later = place > F.col("least") if within else F.col("_id") > F.col("least._id")
-        found = found.unionByName(
-            single.join(least.hint("merge"), ["c1", "c2"]).where(later).select(*KEY, F.col("first").alias("low"), F.col("first").alias("high"))
-        )
-    return Repeats(texts.select(*KEY, "text"), found)
+        spans = spans.unionByName(_crowded_spans(texts, grain, within))
+    return Repeats(texts.select(*DOCUMENT, "text"), spans)
 
 
-def _spans(within: bool):
-    """The runs of windows of an occurrence that occur earlier, ``low`` to ``high``, both among them."""
-    runs = F.col("runs")
-    if not within:
-        return F.filter(runs, lambda run: run["best"] < F.col("_id"))
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("low"), (F.col("windows") - 1).alias("high"), F.lit(1).cast("bigint").alias("best")))
-    return F.when(F.struct(*KEY, "first") == F.col("place"), F.filter(runs, lambda run: run["best"] > 0)).otherwise(whole)
-
-
-def _with_handle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(_handle(batch))], names=[*KEY, "text", "owner"]
+def _crowded_spans(texts: DataFrame, grain: Grain, within: bool) -> DataFrame:
+    """The windows of crowded segments that occur earlier, each met by its own content."""
+    single = written(
+        texts.select(*DOCUMENT, "text", F.col("crowds").alias("keys")).mapInArrow(
+            _window_places(grain), "c1 bigint, c2 bigint, _id bigint, _t1 bigint, low bigint"
         )
+    )
+    place = F.struct(*DOCUMENT, "low")
+    least = single.groupBy("c1", "c2").agg(F.min(place).alias("least"))
+    later = place > F.col("least") if within else F.col("_id") > F.col("least._id")
+    found = single.join(least.hint("merge"), ["c1", "c2"]).where(later)
+    return found.select(*DOCUMENT, "low", F.col("low").alias("high"))

@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm._frames import KEY, id_back, row_key, spans_of
-from sluice.llm.passages import CROWDED, Collection, Grain, repeated_windows
-from sluice.llm.suffix_dedup import covered
+from sluice.llm._frames import id_back, spans_of
+from sluice.llm.passages import CROWDED, DOCUMENT, Collection, Grain, document_key, repeated_windows
+from sluice.llm.suffix_dedup import covered, runs
 
 WINDOW = 13
 GRAM = 5
@@ -104,62 +104,48 @@ def _coded(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(split.offsets.to_numpy())
 
 
-def _least_ids(window: int):
-    """An index over a collection: for each window the least id of the segments that have it."""
-
-    def index(found: Collection) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        alone = np.ones(len(found.key), bool)
-        alone[1:] &= found.key[1:] != found.key[:-1]
-        alone[:-1] &= found.key[:-1] != found.key[1:]
-        # a segment that is alone with its key has no window in common with any other
-        lone, some = np.flatnonzero(alone), np.flatnonzero(~alone)
-        runs = [(lone, np.zeros(len(lone), np.int64), found.windows[lone] - 1, found.ids[lone])]
-        if len(some):
-            words, sizes = _coded([found.contents[k] for k in some.tolist()])
-            # one 0 in front, and one after each string
-            shift = np.repeat(np.arange(len(some)), sizes) + 1
-            values = np.zeros(len(words) + len(some) + 1, np.int64)
-            values[np.arange(len(words)) + shift] = words
-            fm = FmIndex(values, window)
-            segment = np.repeat(np.arange(len(some)), found.windows[some])
-            offset = spans_of(found.windows[some])
-            begin = (np.cumsum(sizes) - sizes)[segment] + offset
-            low, high = fm.intervals(words[begin[:, None] + np.arange(window)])
-            owner = np.zeros(len(values), np.int64)
-            owner[np.arange(len(words)) + shift] = np.repeat(found.ids[some], sizes)
-            # intervals of windows are equal or apart
-            heads, which = np.unique(low, return_inverse=True)
-            tails = np.empty(len(heads), np.int64)
-            tails[which] = high
-            bounds = np.empty(2 * len(heads), np.int64)
-            bounds[0::2], bounds[1::2] = heads, tails
-            least = np.minimum.reduceat(np.append(owner[fm.order], 0), bounds)[0::2][which]
-            runs.append(_runs(some[segment], offset, least))
-        return tuple(np.concatenate(x) for x in zip(*runs, strict=True))
+def _earlier_windows(window: int):
+    """An index over a collection: the windows that a segment of a smaller id has, found by backward search."""
+
+    def index(found: Collection) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words, sizes = _coded(found.contents)
+        # one 0 in front, and one after each string
+        place = np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes) + 1
+        values = np.zeros(len(words) + len(sizes) + 1, np.int64)
+        values[place] = words
+        fm = FmIndex(values, window)
+        segment = np.repeat(np.arange(len(sizes)), found.windows)
+        offset = spans_of(found.windows)
+        begin = (np.cumsum(sizes) - sizes)[segment] + offset
+        low, high = fm.intervals(words[begin[:, None] + np.arange(window)])
+        owner = np.zeros(len(values), np.int64)
+        owner[place] = np.repeat(found.ids, sizes)
+        # intervals of windows are equal or apart
+        heads, which = np.unique(low, return_inverse=True)
+        tails = np.empty(len(heads), np.int64)
+        tails[which] = high
+        bounds = np.empty(2 * len(heads), np.int64)
+        bounds[0::2], bounds[1::2] = heads, tails
+        least = np.minimum.reduceat(np.append(owner[fm.order], 0), bounds)[0::2][which]
+        later = least < found.ids[segment]
+        return runs(segment[later], offset[later])
 
     return index
 
 
-def _runs(segment: np.ndarray, offset: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    heads = np.ones(len(segment), bool)
-    heads[1:] = (segment[1:] != segment[:-1]) | (best[1:] != best[:-1])
-    tails = np.append(heads[1:], True)
-    return segment[heads], offset[heads], offset[tails], best[heads]
-
-
 def _cut_words(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed = [], []
-            for text, lists in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for text, lists in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 words = text.encode().split()
                 low, high = (np.array([x[k] for x in lists], np.int64) for k in ("low", "high"))
                 gone = covered(low, high, window, len(words))
                 kept.append(b" ".join([word for word, out in zip(words, gone.tolist(), strict=True) if not out]).decode())
                 removed.append(int(gone.sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(3)] + [pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=[*KEY, "n_removed", "kept"],
+                [batch.column(k) for k in range(2)] + [pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                names=[*DOCUMENT, "n_removed", "kept"],
             )
 
     return run
@@ -167,37 +153,37 @@ def _cut_words(window: int):
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = [text.encode().split() for text in batch.column(3).to_pylist()]
+        words = [text.encode().split() for text in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(k) for k in range(3)]
+            [batch.column(k) for k in range(2)]
             + [pa.array([len(x) for x in words], pa.int64()), pa.array([b" ".join(x).decode() for x in words])],
-            names=[*KEY, "n_words", "whole"],
+            names=[*DOCUMENT, "n_words", "whole"],
         )
 
 
 def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
-    """``(_id, _t1, _t2, n_removed, kept)`` of the documents of ``docs`` that lose words; ``kept`` joins the others by a space.
+    """``(_id, _t1, n_removed, kept)`` of the documents of ``docs`` that lose words; ``kept`` joins the others by a space.
 
     A word is removed when a run of ``window`` words covers it that also starts in a document with a smaller id (a
     null id is before all others). Runs do not cross documents and are judged on the input. A null text has no
     words. Rows of one id do not count against each other.
     """
-    found = repeated_windows(docs, Grain(window, gram, True), _least_ids(window), False, crowded)
-    lists = found.spans.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    texts = found.texts.join(lists.hint("merge"), KEY).select(*KEY, "text", "spans")
-    return texts.mapInArrow(_cut_words(window), "_id bigint, _t1 bigint, _t2 bigint, n_removed bigint, kept string")
+    found = repeated_windows(docs, Grain(window, gram, True), _earlier_windows(window), False, crowded)
+    lists = found.spans.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    texts = found.texts.join(lists.hint("merge"), DOCUMENT).select(*DOCUMENT, "text", "spans")
+    return texts.mapInArrow(_cut_words(window), "_id bigint, _t1 bigint, n_removed bigint, kept string")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)`` for each row of ``docs``; see :func:`remove_passages`."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(*row_key(), text.alias("text")).mapInArrow(
-        _count_words, "_id bigint, _t1 bigint, _t2 bigint, n_words bigint, whole string"
+    rows = docs.select(*document_key(), text.alias("text")).mapInArrow(
+        _count_words, "_id bigint, _t1 bigint, n_words bigint, whole string"
     )
-    rows = rows.select(*KEY, "n_words", F.sha2("whole", 256).alias("whole"))
+    rows = rows.select(*DOCUMENT, "n_words", F.sha2("whole", 256).alias("whole"))
     removed = remove_passages(docs, window, gram, crowded)
-    removed = removed.select(*KEY, "n_removed", F.sha2("kept", 256).alias("sha")).dropDuplicates(KEY)
-    return rows.join(removed.hint("merge"), KEY, "left").select(
+    removed = removed.select(*DOCUMENT, "n_removed", F.sha2("kept", 256).alias("sha")).dropDuplicates(DOCUMENT)
+    return rows.join(removed.hint("merge"), DOCUMENT, "left").select(
         id_back("_id").alias("doc_id"),
         "n_words",
         F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),

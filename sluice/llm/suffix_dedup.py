@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm._frames import KEY, id_back, row_key
-from sluice.llm.passages import CROWDED, Collection, Grain, repeated_windows
+from sluice.llm._frames import id_back
+from sluice.llm.passages import CROWDED, DOCUMENT, Collection, Grain, document_key, repeated_windows
 
 WINDOW = 100
 GRAM = 32
@@ -31,9 +31,9 @@ def sorted_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     data = np.frombuffer(b"".join(strings), np.uint8)
     ends = np.cumsum(sizes)
     before = np.where(sizes > 0, data[np.maximum(ends - 1, 0)] if len(data) else 0, 0).astype(np.uint8)
-    common = np.zeros(count, np.uint8)
+    common = np.zeros(count, np.uint16)
     owner = np.arange(count, dtype=np.int32)
-    length = np.zeros(count, np.uint8)
+    length = np.zeros(count, np.uint16)
     place = np.arange(count)  # of each active string's longest suffix so far
     active = np.flatnonzero(sizes > 0)
     place = place[active]
@@ -54,7 +54,7 @@ def sorted_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
         old[at] = False
         before = _spread(before, old, at, symbol)
         owner = _spread(owner, old, at, active.astype(np.int32))
-        length = _spread(length, old, at, np.full(len(at), size, np.uint8))
+        length = _spread(length, old, at, np.full(len(at), size, np.uint16))
         common = _spread(common, old, at, shared)
         inside = at + 1 < len(common)
         common[at[inside] + 1] = shared_next[inside]
@@ -71,15 +71,15 @@ def _spread(values: np.ndarray, old: np.ndarray, at: np.ndarray, new: np.ndarray
 
 def _least_between(common: np.ndarray, symbols: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """For extended suffixes ``rank`` and ``rank - 1``: their common prefix, 0 if they begin differently."""
-    found = np.zeros(len(rank), np.uint8)
+    found = np.zeros(len(rank), np.uint16)
     inside = (rank > 0) & (rank < len(order))
     upper, lower = order[rank[inside]], order[rank[inside] - 1]
     same = symbols[upper] == symbols[lower]
     bounds = np.empty(2 * int(same.sum()), np.int64)
     bounds[0::2], bounds[1::2] = lower[same] + 1, upper[same] + 1
-    part = np.zeros(len(upper), np.uint8)
+    part = np.zeros(len(upper), np.uint16)
     if len(bounds):
-        padded = np.append(common, np.uint8(0))
+        padded = np.append(common, np.uint16(0))
         part[same] = np.minimum.reduceat(padded, bounds)[0::2] + 1
     found[inside] = part
     return found
@@ -88,29 +88,19 @@ def _least_between(common: np.ndarray, symbols: np.ndarray, order: np.ndarray, r
 def _earlier_windows(window: int):
     """An index over a collection: the windows that another segment has earlier, by the order of all suffixes."""
 
-    def index(found: Collection) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        none = np.zeros(0, np.int64)
-        # a segment that is alone with its key has no window in common with any other
-        alone = np.ones(len(found.key), bool)
-        alone[1:] &= found.key[1:] != found.key[:-1]
-        alone[:-1] &= found.key[:-1] != found.key[1:]
-        some = np.flatnonzero(~alone)
-        if not len(some):
-            return none, none, none, none
+    def index(found: Collection) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # no byte of a text in UTF-8 is 0xFF, so all may be shifted by one to leave 0 free
-        raw = [found.contents[k].translate(_UP) for k in some.tolist()]
-        owner, length, common = sorted_suffixes(raw)
-        sizes = found.windows[some] + window - 1
+        owner, length, common = sorted_suffixes([content.translate(_UP) for content in found.contents])
         whole = length >= window
         group = np.cumsum(common < window)[whole]
-        segment = some[owner[whole]]
-        offset = sizes[owner[whole]] - length[whole]
+        segment = owner[whole].astype(np.int64)
+        offset = found.windows[segment] + window - 1 - length[whole]
         start = found.first[segment] + offset
         order = np.lexsort((start, found.document[segment], group))
         first = np.ones(len(order), bool)
         first[1:] = group[order][1:] != group[order][:-1]
         later = order[~first]
-        return _runs(segment[later], offset[later])
+        return runs(segment[later], offset[later])
 
     return index
 
@@ -118,13 +108,14 @@ def _earlier_windows(window: int):
 _UP = bytes([*range(1, 256), 255])
 
 
-def _runs(segment: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(segment: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(segment, from, to)``: neighbouring windows of a segment as one run."""
     order = np.lexsort((offset, segment))
     segment, offset = segment[order], offset[order]
     heads = np.ones(len(segment), bool)
     heads[1:] = (segment[1:] != segment[:-1]) | (offset[1:] != offset[:-1] + 1)
     tails = np.append(heads[1:], True) if len(heads) else heads
-    return segment[heads], offset[heads], offset[tails], np.ones(int(heads.sum()), np.int64)
+    return segment[heads], offset[heads], offset[tails]
 
 
 def covered(low: np.ndarray, high: np.ndarray, window: int, size: int) -> np.ndarray:
@@ -139,7 +130,7 @@ def _cut_bytes(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed, spans = [], [], []
-            for text, lists in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for text, lists in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 data = np.frombuffer(text.encode(), np.uint8)
                 low, high = (np.array([x[k] for x in lists], np.int64) for k in ("low", "high"))
                 gone = covered(low, high, window, len(data))
@@ -147,16 +138,16 @@ def _cut_bytes(window: int):
                 removed.append(int(gone.sum()))
                 spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in range(3)]
+                [batch.column(k) for k in range(2)]
                 + [pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-                names=[*KEY, "n_removed", "n_spans", "kept"],
+                names=[*DOCUMENT, "n_removed", "n_spans", "kept"],
             )
 
     return run
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
-    """``(_id, _t1, _t2, n_removed, n_spans, kept)`` of the documents of ``docs`` that lose bytes; ``kept`` is what stays.
+    """``(_id, _t1, n_removed, n_spans, kept)`` of the documents of ``docs`` that lose bytes; ``kept`` is what stays.
 
     A byte is removed when a string of ``window`` bytes covers it that also starts earlier: in a document with a smaller
     id (a null id is before all others), or in the same one. Strings do not cross documents and
@@ -164,20 +155,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crow
     apart by their texts; rows equal in both are one document.
     """
     found = repeated_windows(docs, Grain(window, gram, False), _earlier_windows(window), True, crowded)
-    lists = found.spans.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    texts = found.texts.join(lists.hint("merge"), KEY).select(*KEY, "text", "spans")
-    schema = "_id bigint, _t1 bigint, _t2 bigint, n_removed bigint, n_spans bigint, kept binary"
+    lists = found.spans.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    texts = found.texts.join(lists.hint("merge"), DOCUMENT).select(*DOCUMENT, "text", "spans")
+    schema = "_id bigint, _t1 bigint, n_removed bigint, n_spans bigint, kept binary"
     return texts.mapInArrow(_cut_bytes(window), schema)
 
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for each row of ``docs``; see :func:`remove_repeats`."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(*row_key(), F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+    rows = docs.select(*document_key(), F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
     removed = remove_repeats(docs, window, gram, crowded)
-    removed = removed.select(*KEY, "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")).dropDuplicates(KEY)
+    removed = removed.select(*DOCUMENT, "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")).dropDuplicates(DOCUMENT)
     zero = F.lit(0).cast("bigint")
-    return rows.join(removed.hint("merge"), KEY, "left").select(
+    return rows.join(removed.hint("merge"), DOCUMENT, "left").select(
         id_back("_id").alias("doc_id"),
         "n_bytes",
         F.coalesce("n_removed", zero).alias("n_removed"),
