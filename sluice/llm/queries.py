@@ -171,6 +171,59 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_
 from texts join groups using (t)"""
 
 
+OP5_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents
+),
+starts as (
+  select doc_id, w, least(4, len(w)) as n, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) as i
+  from words where len(w) > 0
+),
+shingles as materialized (select distinct doc_id, array_to_string(w[i:i + n - 1], ' ') as s from starts),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+),
+links as materialized (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared >= 80 * (x.n + y.n - shared)
+),
+ways as materialized (select a, b from links union all select b, a from links),
+reached(doc_id, other) as (
+  select a, b from ways
+  union
+  select r.doc_id, w.b from reached r join ways w on w.a = r.other
+),
+least as (select doc_id, min(other) as other from reached group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) as component_id,
+       least(d.doc_id, coalesce(l.other, d.doc_id)) = d.doc_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id left join least l on l.doc_id = d.doc_id"""
+
+OP8_SQL = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+windows as materialized (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as t
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 12)) as i from words where len(w) >= 13)
+),
+firsts as (select t, min(doc_id) as first from windows group by t),
+gone as (
+  select distinct doc_id, unnest(generate_series(i, i + 12)) as p
+  from windows join firsts using (t) where doc_id > first
+),
+placed as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from words),
+kept as (
+  select a.doc_id, count(g.p) as n_removed, string_agg(word, ' ' order by a.p) filter (where g.p is null) as text
+  from placed a left join gone g on g.doc_id = a.doc_id and g.p = a.p group by a.doc_id
+)
+select w.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(k.text, '')) as kept_sha256
+from words w left join kept k on k.doc_id = w.doc_id"""
+
+
 def queries() -> dict:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -187,4 +240,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL, "op7_exact_dedup": OP7_SQL}
+    return {
+        "op2_decontaminate": OP2_SQL,
+        "op5_near_dedup": OP5_SQL,
+        "op6_line_dedup": OP6_SQL,
+        "op7_exact_dedup": OP7_SQL,
+        "op8_substring_dedup": OP8_SQL,
+    }
