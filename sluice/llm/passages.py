@@ -337,7 +337,8 @@ def _places(grain: Grain, within: bool):
             spans = _place_rows(SPAN, _merged_spans(ids[gone], texts[gone], found.first[gone], high[gone]))
             open_ = _place_rows(OPEN, [x[left] for x in (found.key, one, two, ids, texts, found.first, high)])
             columns = [np.concatenate(pair) for pair in zip(spans, open_, strict=True)]
-            route = np.concatenate([spans[5], open_[1]])
+            # copies of one text go apart
+            route = np.concatenate([spans[4] ^ spans[5], open_[1]])
             yield pa.RecordBatch.from_arrays([pa.array(route), *map(pa.array, columns)], names=["route", *_PLACE_NAMES])
 
     return run
