@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,32 +14,41 @@ WINDOW = 13
 SHARE = 20
 #: Windows of all items up to which their hashes are broadcast; beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+#: What stands between words: ASCII characters other than letters and digits.
+GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def _split(text: Column) -> Column:
+    return F.array_remove(F.split(text, GAP), "")
 
 
 def words_of(text: Column) -> Column:
     """The words of ``text`` with A-Z lower-cased; null has none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    return _split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _window_hash(codes: Column, at: Column, size: int) -> Column:
+    """A hash of the first, middle and last word of a window; whether all words agree is seen where it hits."""
+    places = sorted({0, (size - 1) // 2, size - 1})
+    return F.xxhash64(*[F.get(codes, at + place) for place in places])
 
 
 def _window_hashes(words: Column, size: int) -> Column:
-    """A hash of each run of ``size`` words, by its start."""
-    starts = F.sequence(F.lit(1), F.size(words) - (size - 1))
+    """The hash of each run of ``size`` words, by its start."""
+    starts = F.sequence(F.lit(0), F.size(words) - size)
     coded = F.transform(words, lambda word: F.xxhash64(word))
-    windows = let(coded, lambda codes: F.transform(starts, lambda at: F.xxhash64(F.slice(codes, at, size))))
+    windows = let(coded, lambda codes: F.transform(starts, lambda at: _window_hash(codes, at, size)))
     return F.when(F.size(words) >= size, windows).otherwise(F.array().cast("array<bigint>"))
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``(item, size, hash, window)``: every run of ``size`` words of an item, or all words of a shorter one."""
+    """``(item, size, window)``: every run of ``size`` words of an item, or all words of a shorter one."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
     some = items.where((F.size("words") > 0) & F.col("item").isNotNull())
     own = some.withColumn("size", F.least(F.size("words"), F.lit(size)))
     starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
     windows = own.select("item", "size", "words", F.explode(starts).alias("at"))
-    windows = windows.select("item", "size", F.slice("words", F.col("at"), F.col("size")).alias("window")).distinct()
-    return windows.withColumn("hash", F.xxhash64(F.transform("window", lambda word: F.xxhash64(word))))
+    return windows.select("item", "size", F.slice("words", F.col("at"), F.col("size")).alias("window")).distinct()
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -48,7 +59,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Data
     found = None
     for row in windows.select("size").distinct().collect():  # at most `size` rows
         length = row["size"]
-        wanted = windows.where(F.col("size") == length).select("hash", "item", "window")
+        codes = F.transform("window", lambda word: F.xxhash64(word))
+        wanted = windows.where(F.col("size") == length).select("item", "window", codes.alias("codes"))
+        wanted = wanted.select(_window_hash(F.col("codes"), F.lit(0), length).alias("hash"), "item", "window")
         starts = rows.select(*KEY, "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("start", "hash"))
         met = starts.join(F.broadcast(wanted) if small else wanted, "hash").where(
             F.slice("words", F.col("start") + 1, length) == F.col("window")
@@ -67,8 +80,10 @@ def _covered(spans: str) -> Column:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """``(row, n_words, n_hit, items, contaminated)`` for each row of ``docs``; ``row`` holds all its columns.
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``(row, n_words, n_hit, items, contaminated)`` for each row of ``docs``; ``row`` holds its columns, or those in ``keep``.
 
     A word is hit inside any occurrence of a window of an item. ``items`` are the ids, as sorted strings,
     of the items that occur. A document is contaminated if at least one word in ``share`` is hit. A null
@@ -83,7 +98,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
-        F.struct("*").alias("row"), F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("bigint").alias("n_words"), *row_key()
+        (F.struct("*") if keep is None else F.struct(*keep)).alias("row"),
+        F.size(_split(text)).cast("bigint").alias("n_words"),
+        *row_key(),
     )
     n_hit = F.coalesce("hit", F.lit(0).cast("bigint"))
     return rows.join(hits, KEY, "left").select(
