@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     links = written(links.select("a", "b").where("a <> b").distinct())
     before = None
     while True:
-        links = written(_small_star(_large_star(links)))
+        links = written(_small_star(written(_large_star(links))))
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
         if now == before:
             break

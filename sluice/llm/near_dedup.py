@@ -6,23 +6,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm._frames import KEY, id_back, row_key, spans_of, text_buffer, text_slices, written
+from sluice.llm._frames import KEY, column, id_back, row_key, spans_of, text_buffer, text_slices, written
 from sluice.llm._words import lower_ascii, mix, run_hashes, word_hashes, word_spans
 from sluice.llm.components import components
+from sluice.llm.passages import CROWDED, MEETING, meet, meeting_rows
 
 WORDS = 5
 THRESHOLD = 80
-#: Symbols of a signature, each the low 16 bits of one minimum, and the chunks they are split into.
+#: Symbols of a signature, each the low 16 bits of one minimum, and the chunks they are split into. By the pigeonhole
+#: principle two signatures with less than ``2 * CHUNKS`` different symbols have a chunk with at most one, and
+#: so a key in common.
 SYMBOLS = 32
 CHUNKS = 8
-#: By the pigeonhole principle two signatures with at most this many different symbols have a
-#: chunk with at most one, and so a key in common.
-MAX_DISTANCE = 2 * CHUNKS - 1
+#: Symbols of the longer signature by which members of a bucket are compared, and how many may differ: at a similarity of
+#: 0.8 a fifth do, give or take a fortieth, and this is five times that deviation away.
+LONG_SYMBOLS = 256
+LONG_DISTANCE = 84
 #: Members of a bucket that are compared with as many others in one group.
 BLOCK = 2048
+#: Shingles that are brought together in one slice.
+SLICE_SHINGLES = 1 << 20
 
 
 def shingle_sets(batch: pa.RecordBatch, text: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,12 +53,12 @@ def shingle_sets(batch: pa.RecordBatch, text: int, words: int) -> tuple[np.ndarr
     return np.bincount(row[fresh], minlength=len(counts)), hashed[fresh]
 
 
-def _signatures(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """A row of ``SYMBOLS`` 16-bit symbols for each set that is not empty."""
+def _signatures(counts: np.ndarray, hashes: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
+    """A row of ``symbols`` 16-bit symbols for each set that is not empty."""
     some = counts[counts > 0]
     starts = np.cumsum(some) - some
-    found = np.empty((len(some), SYMBOLS), np.uint16)
-    for k in range(SYMBOLS):
+    found = np.empty((len(some), symbols), np.uint16)
+    for k in range(symbols):
         salt = mix(np.array([k + 1], np.uint64))[0]
         least = np.minimum.reduceat((hashes ^ salt) * np.uint64(0xFF51AFD7ED558CCD), starts) if len(some) else hashes
         found[:, k] = (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -102,8 +108,8 @@ def _add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = _keys(np.frombuffer(raw, np.uint16).reshape(-1, SYMBOLS))
         ends = pa.array(np.arange(len(keys) + 1) * SYMBOLS, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
-            names=["node", "n", "signature", "keys"],
+            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
+            names=["node", "n", "keys"],
         )
 
 
@@ -119,49 +125,70 @@ def _sets(words: int):
     return run
 
 
+def _find_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each node, to meet those of others."""
+    for batch in batches:
+        lists = batch.column(1)
+        ends = lists.offsets.to_numpy()
+        hashes = lists.values.to_numpy()
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_SHINGLES, side="right")) - 1)
+            owner = np.repeat(column(batch, 0)[first:last], np.diff(ends[first : last + 1]))
+            yield meeting_rows(hashes[ends[first] : ends[last]], owner)
+            first = last
+
+
+def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``(node, shingles)``: each node's longer signature."""
+    for batch in batches:
+        lists = batch.column(1)
+        ends = lists.offsets.to_numpy()
+        hashes = lists.values.to_numpy().view(np.uint64)
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_SHINGLES, side="right")) - 1)
+            found = _signatures(np.diff(ends[first : last + 1]), hashes[ends[first] : ends[last]], LONG_SYMBOLS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0)[first:last], pa.array([x.tobytes() for x in found], pa.binary())], names=["node", "signature"]
+            )
+            first = last
+
+
 def _pairs_of_blocks(threshold: int, most: int):
-    """Pairs of a group from different components and with signatures at most ``most`` apart."""
+    """Pairs of a group that may be similar: from different components, with long signatures at most ``most`` apart.
+
+    A pair has no more shingles in common than either of them has in common with anyone.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        node, n, root = (group.column(k).to_numpy() for k in ("node", "n", "root"))
-        side = group.column("side").to_numpy()
+        node, n, common, root, side = (group.column(k).to_numpy() for k in ("node", "n", "common", "root", "side"))
         raw = b"".join(group.column("signature").to_pylist())
-        signs = np.frombuffer(raw, np.uint16).reshape(-1, SYMBOLS)
-        left = np.flatnonzero(side <= 0)
+        signs = np.frombuffer(raw, np.uint16).reshape(-1, LONG_SYMBOLS)
         right = np.flatnonzero(side >= 0)
         a, b = [], []
-        for one in left:
-            apart = (signs[right] != signs[one]).sum(axis=1)
-            fits = 100 * np.minimum(n[right], n[one]) >= threshold * np.maximum(n[right], n[one])
+        for one in np.flatnonzero(side <= 0):
             # within one block each pair is seen from both sides
-            other = right[(apart <= most) & fits & (root[right] != root[one]) & ((side[right] > 0) | (right > one))]
+            other = right[(root[right] != root[one]) & ((side[right] > 0) | (right > one))]
+            least = np.minimum(common[other], common[one])
+            other = other[(100 + threshold) * least >= threshold * (n[other] + n[one])]
+            other = other[(signs[other] != signs[one]).sum(axis=1) <= most]
             a.append(np.minimum(node[one], node[other]))
             b.append(np.maximum(node[one], node[other]))
-        return pa.table({"a": np.concatenate([*a, np.zeros(0, np.int64)]), "b": np.concatenate([*b, np.zeros(0, np.int64)])})
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([*a, none]), "b": np.concatenate([*b, none])})
 
     return run
 
 
-class _Confirmer:
-    """Checks pairs of nodes on their whole shingle sets, which are made for the nodes that need them."""
-
-    def __init__(self, nodes: DataFrame, docs: DataFrame, words: int, threshold: int):
-        self._nodes, self._docs, self._words, self._threshold = nodes, docs, words, threshold
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` whose sets are as similar as asked, with one table written."""
-        pairs = written(pairs)
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        keys = self._nodes.select("node", *KEY).join(wanted, "node")
-        texts = self._docs.join(keys.hint("merge"), KEY).select("node", "text")
-        # rows equal in id and text give a node's text more than once
-        sets = written(texts.mapInArrow(_sets(self._words), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
-        one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-        met = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
-        both = F.size(F.array_intersect("sa", "sb"))
-        similar = 100 * both >= self._threshold * (F.size("sa") + F.size("sb") - both)
-        return written(met.where(similar).select("a", "b"))
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets are as similar as asked."""
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    met = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
+    both = F.size(F.array_intersect("sa", "sb"))
+    similar = 100 * both >= threshold * (F.size("sa") + F.size("sb") - both)
+    return written(met.where(similar).select("a", "b"))
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -172,9 +199,10 @@ def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD)
     id before all others; ``kept`` marks the rows with that id.
 
     Equal sets are one node from the start. Nodes with a common key are candidates; each is first
-    checked against the least node of its bucket. Then, in buckets that still hold several
+    checked against the node of its bucket that meets most others. Then, in buckets that still hold several
     components, all members of different components whose signatures are close are checked, block
-    by block, so a bucket of near copies gives few pairs and loses no link between components.
+    by block. How many shingles a node has in common with any other candidate bounds its
+    similarity to each, so most members of a loose group need no check, and no link between components is lost.
     Documents without words are linked with nothing. Rows of one id are told apart by their texts.
     """
     keyed = docs.select(*row_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -191,50 +219,84 @@ def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD)
         .agg(first)
         .select("s1", "s2", "first.*", F.monotonically_increasing_id().alias("node"))
     )
+    members = _members_of_buckets(nodes)
+    sets = _sets_of(members.select("node").distinct(), nodes, keyed, words)
+    common = meet(sets.mapInArrow(_find_shingles, MEETING), CROWDED).where("not crowded")
+    common = written(common.groupBy(F.col("owner").alias("node")).agg(F.count(F.lit(1)).alias("common")))
+    # a node that shares no shingle with any other cannot be linked
+    members = written(members.join(common.hint("merge"), "node"))
+
+    # the text that copies were made of meets more nodes than any of these
+    centre = F.min(F.struct((-F.col("met")).alias("met"), "node", "n")).alias("centre")
+    starred = members.join(members.groupBy("key").agg(centre).hint("merge"), "key")
+    stars = starred.where((F.col("node") != F.col("centre.node")) & _may_link(F.col("centre.n"), threshold))
+    ends = F.col("centre.node"), F.col("node")
+    stars = written(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct())
+    links = _confirmed(stars, sets, threshold)
+    roots = written(components(links))
+    pairs = _pairs_between_components(members, roots, sets, threshold)
+    pairs = written(pairs.join(stars.hint("merge"), ["a", "b"], "left_anti"))
+    more = _confirmed(pairs, sets, threshold)
+    if not more.isEmpty():
+        known = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        roots = components(known.unionByName(more))
+    return _components_of_rows(measured, nodes, roots)
+
+
+def _may_link(other_size: Column, threshold: int) -> Column:
+    """Whether a node of ``n`` shingles, ``common`` of which others have, may be as similar to one of ``other_size``."""
+    return (100 + threshold) * F.least("common", other_size) >= threshold * (F.col("n") + other_size)
+
+
+def _members_of_buckets(nodes: DataFrame) -> DataFrame:
+    """``(key, node, n, met)`` for the keys that several nodes have; ``met`` sums up the sizes of all buckets of a node."""
     indexed = written(
         nodes.select("node", F.col("n_shingles").alias("n"), "signature").mapInArrow(
-            _add_keys, "node bigint, n bigint, signature binary, keys array<bigint>"
+            _add_keys, "node bigint, n bigint, keys array<bigint>"
         )
     )
     members = indexed.select("node", "n", F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(
-        F.min(F.struct("node", "n")).alias("centre"), F.count(F.lit(1)).alias("size")
-    )
-    buckets = written(buckets.where("size > 1"))
-    size_fits = 100 * F.least("n", "centre.n") >= threshold * F.greatest("n", "centre.n")
-    stars = (
-        members.join(buckets.select("key", "centre").hint("merge"), "key")
-        .where((F.col("node") != F.col("centre.node")) & size_fits)
-        .select(F.col("centre.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    confirm = _Confirmer(nodes, keyed, words, threshold)
-    stars = written(stars)
-    links = confirm.links(stars)
-    roots = components(links)
-
-    own = indexed.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = own.select("node", "n", "root", "signature", F.explode("keys").alias("key"))
-    shared = own.select("key", "node", "root").join(buckets.select("key").hint("merge"), "key")
-    mixed = shared.groupBy("key").agg(
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(members.join(buckets.hint("merge"), "key").select("key", "node", "n", "size"))
+    met = shared.groupBy("node").agg(F.sum("size").alias("met"))
+    return shared.drop("size").join(met.hint("merge"), "node")
+
+
+def _sets_of(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame, words: int) -> DataFrame:
+    """``(node, shingles)`` of the nodes in ``wanted``."""
+    keys = nodes.select("node", *KEY).join(wanted.hint("merge"), "node")
+    texts = keyed.join(keys.hint("merge"), KEY).select("node", "text")
+    # rows equal in id and text give a node's text more than once
+    return written(texts.mapInArrow(_sets(words), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+
+
+def _pairs_between_components(members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs ``(a, b)`` of members of a bucket that are in different components and may be similar."""
+    own = members.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = members.groupBy("key").agg(F.min("n").alias("least"))
+    # of all sizes in the bucket that of its common shingles suits a node best, or the least one above it
+    best = F.greatest("least", "common")
+    own = own.join(least.hint("merge"), "key").where(_may_link(best, threshold))
+    own = written(own.select("key", "node", "n", "common", "root"))
+    mixed = own.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")
     )
-    mixed = written(mixed.where("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    spread = own.join(mixed.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    mixed = mixed.where("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    compared = written(own.join(mixed.hint("merge"), "key"))
+    wanted = sets.join(compared.select("node").distinct().hint("merge"), "node", "left_semi")
+    signatures = wanted.mapInArrow(_long_signatures, "node bigint, signature binary")
+    signed = compared.join(signatures.hint("merge"), "node")
+    spread = signed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    spread = spread.select("key", "node", "n", "root", "signature", "block", F.explode(other).alias("other"))
-    spread = spread.select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "root",
-        "signature", F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
-    )
-    pairs = (
-        spread.groupBy("key", "i", "j")
-        .applyInArrow(_pairs_of_blocks(threshold, MAX_DISTANCE + 3), "a bigint, b bigint")
-        .distinct()
-        .join(stars.hint("merge"), ["a", "b"], "left_anti")
+    spread = spread.select("*", F.explode(other).alias("other")).select(
+        "key",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        *["node", "n", "common", "root", "signature"],
+        F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
     )
-    links = links.unionByName(confirm.links(pairs))
-    return _components_of_rows(measured, nodes, components(links))
+    groups = spread.groupBy("key", "i", "j")
+    return groups.applyInArrow(_pairs_of_blocks(threshold, LONG_DISTANCE), "a bigint, b bigint").distinct()
 
 
 def _components_of_rows(measured: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
