@@ -47,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 ids."""
-    return pack(docs, tokenizer_path())
+    return pack(docs, tokenizer_path(), added_tokens=True)
 
 
 STAGES = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -76,17 +77,32 @@ def _ranks(path: str) -> dict[bytes, int]:
     }
 
 
+def _added_tokens(path: str) -> dict[bytes, int]:
+    """The ids of the vocabulary's added tokens by content. Only tokens that are met anywhere as they stand are known."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    for token in added:
+        if any(token.get(name) for name in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: added token {token['content']!r} isn't met as it stands")
+    return {token["content"].encode(): token["id"] for token in added if token["content"]}
+
+
 class Encoder:
     """Token ids of many texts: the words of all texts are told apart at once, and each distinct word is encoded once.
 
     The vocabulary's split pattern cuts a text into words that are encoded by themselves, so the ids
-    are those of the whole text.
+    are those of the whole text. With ``added`` the vocabulary's added tokens are met first, wherever they stand in
+    a text, and what lies between them is encoded like texts of their own; without, they are spelled out.
     """
 
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS, added: bool = False):
         import tiktoken
 
         self._encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=_ranks(path), special_tokens={})
+        self._added = _added_tokens(path) if added else {}
+        # where several begin at one place the longest is met
+        contents = sorted(self._added, key=len, reverse=True)
+        self._markers = re.compile(b"|".join(map(re.escape, contents))) if contents else None
         self._classes = _character_classes()
         self._cached_words = cached_words
         self._known: dict[bytes, bytes] = {}
@@ -129,6 +145,14 @@ class Encoder:
             inside[inside] &= ~ends_text[after[inside] - 1]
             begins[after[inside]] = True
 
+    def _marked(self, offsets: np.ndarray, raw: bytes) -> np.ndarray:
+        """``(start, end)`` of each added token inside a text, in bytes."""
+        if not self._markers or not self._markers.search(raw):
+            return np.zeros((0, 2), np.int64)
+        bounds = offsets.tolist()
+        found = [m.span() for a, b in zip(bounds, bounds[1:]) for m in self._markers.finditer(raw, a, b)]
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(counts, ids)``: the number of ids of each text, and all ids one after another."""
         texts = len(offsets) - 1
@@ -137,8 +161,12 @@ class Encoder:
         raw = data.tobytes()
         at = np.flatnonzero((data & 0xC0) != 0x80)
         points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
-        text_at = np.searchsorted(at, offsets[:-1][np.diff(offsets) > 0])
-        starts = at[self._starts(points, text_at)]
+        marked = self._marked(offsets, raw)
+        cuts = np.concatenate([offsets[:-1][np.diff(offsets) > 0], marked[:, 0], marked[marked[:, 1] < len(data), 1]])
+        begins = self._starts(points, np.searchsorted(at, cuts))
+        for first, last in np.searchsorted(at, marked).tolist():
+            begins[first + 1 : last] = False  # an added token is one word
+        starts = at[begins]
         bounds = np.append(starts, len(data)).astype(np.int32)
         words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
         coded = words.dictionary_encode()
@@ -158,9 +186,10 @@ class Encoder:
         if len(known) + len(new) > self._cached_words:
             known.clear()
             new = words
-        encode = self._encode._core_bpe.encode_single_piece
+        encode, added = self._encode._core_bpe.encode_single_piece, self._added
         for word in new:
-            known[word] = array("I", encode(word)).tobytes()
+            # words between added tokens never hold one
+            known[word] = array("I", [added[word]] if word in added else encode(word)).tobytes()
         found = [known[word] for word in words]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return sizes, np.frombuffer(b"".join(found), "<u4")
@@ -225,12 +254,12 @@ def _table(windows: list[tuple[int, list[tuple]]], keep_ids: bool) -> pa.RecordB
     )
 
 
-def _pack_partition(path: str, window: int, open_windows: int, min_cut: int):
+def _pack_partition(path: str, window: int, open_windows: int, min_cut: int, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
         encoder, open_ = None, _Windows(window, open_windows, min_cut)
         for batch in text_slices(batches, 1, SLICE_BYTES):
-            encoder = encoder or Encoder(path)
+            encoder = encoder or Encoder(path, added=added_tokens)
             counts, ids = encoder.encode(*text_buffer(batch.column(1)))
             ends = np.cumsum(counts)
             closed = []
@@ -274,11 +303,13 @@ def pack(
     window: int = WINDOW,
     open_windows: int = OPEN_WINDOWS,
     min_cut: int = MIN_CUT,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``, one row per piece of a document.
 
     Each row of ``docs`` (``doc_id``, ``text``; other columns are not read) is encoded and closed with
-    id 1. Each partition keeps at most ``open_windows`` windows open; a piece goes where it fits best.
+    id 1. With ``added_tokens`` the vocabulary's added tokens inside a text get their own ids, as the ``tokenizers``
+    library does unless told otherwise; without, they are spelled out like any text. Each partition keeps at most ``open_windows`` windows open; a piece goes where it fits best.
     When none fits, the fullest window goes: with less than ``min_cut`` ids of room it is
     padded, otherwise the piece's head fills it. Windows still open at the end of a
     partition are written with their ids and joined end to end by a second, small job.
@@ -289,7 +320,7 @@ def pack(
     """
     packed = written(
         docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-            _pack_partition(tokenizer, window, open_windows, min_cut), PIECES
+            _pack_partition(tokenizer, window, open_windows, min_cut, added_tokens), PIECES
         )
     )
     left = packed.where("ids is not null")

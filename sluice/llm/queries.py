@@ -42,7 +42,7 @@ def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_pack(spark: SparkSession, sf: str) -> DataFrame:
-    return pack(_table(spark, sf, "documents"), tokenizer_path())
+    return pack(_table(spark, sf, "documents"), tokenizer_path(), added_tokens=True)
 
 
 def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:

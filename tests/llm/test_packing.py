@@ -107,3 +107,41 @@ def test_a_vocabulary_out_of_order_is_refused(tmp_path):
     path.write_text('{"model": {"vocab": {"a": 0, "b": 1, "ab": 3, "ba": 2}, "merges": ["a b", "b a"]}}')
     with pytest.raises(ValueError, match="order"):
         packing._ranks(str(path))
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    """As the library reads the file: added tokens inside a text get their own ids."""
+    return Tokenizer.from_file(tokenizer_path())
+
+
+@pytest.mark.parametrize("cached", [1, 100_000])
+def test_added_tokens_are_the_tokenizers(plain_tokenizer, cached):
+    random.seed(3)
+    parts = ["<|endoftext|>", "<|endoftext", "<|endof", "text|>", "|>", "a", "'", "s", "re", " ", "  ", "\n", "1", "日本", "!"]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(3000)] + ["", "a <|endoftext|> b"]
+    encoder = Encoder(tokenizer_path(), cached, added=True)
+    counts, ids = encoder.encode(*text_buffer(pa.array(texts)))
+    ends = np.cumsum(counts)
+    for text, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == ids_of(plain_tokenizer, text)[:-1], text
+    assert ids[-4:].tolist() == [64, 220, 50256, 275]
+
+
+def test_query_and_stage_give_added_tokens_their_ids(spark, documents, plain_tokenizer, tmp_path):
+    import corpus_pipeline
+
+    from sluice.llm.queries import op3_pack
+
+    docs = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 3), (3, "no marker <|endof"), (4, "text|>")]
+    documents(docs, 1).write.parquet(f"{tmp_path}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)["packing"]
+    for pieces in (op3_pack(spark, str(tmp_path)), stage(spark, documents(docs), str(tmp_path))):
+        check(pieces.collect(), docs, plain_tokenizer, 2048)
+
+
+def test_an_added_token_met_otherwise_is_refused(tmp_path):
+    path = tmp_path / "vocabulary.json"
+    path.write_text('{"added_tokens": [{"id": 5, "content": "<x>", "lstrip": true}], "model": {}}')
+    with pytest.raises(ValueError, match="as it stands"):
+        packing._added_tokens(str(path))
