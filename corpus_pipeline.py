@@ -41,7 +41,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents of which benchmark passages are a twentieth or more."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True)
     return found.where(~F.col("contaminated")).select(*[F.col("row")[name].alias(name) for name in docs.columns])
 
 

@@ -44,8 +44,7 @@ def _window_hashes(words: Column, size: int) -> Column:
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``(item, size, window)``: every run of ``size`` words of an item, or all words of a shorter one."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
-    some = items.where((F.size("words") > 0) & F.col("item").isNotNull())
-    own = some.withColumn("size", F.least(F.size("words"), F.lit(size)))
+    own = items.where(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(size)))
     starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
     windows = own.select("item", "size", "words", F.explode(starts).alias("at"))
     return windows.select("item", "size", F.slice("words", F.col("at"), F.col("size")).alias("window")).distinct()
@@ -81,19 +80,28 @@ def _covered(spans: str) -> Column:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE, keep: Sequence[str] | None = None
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = WINDOW,
+    share: int = SHARE,
+    keep: Sequence[str] | None = None,
+    unnamed: bool = False,
 ) -> DataFrame:
     """``(row, n_words, n_hit, items, contaminated)`` for each row of ``docs``; ``row`` holds its columns, or those in ``keep``.
 
     A word is hit inside any occurrence of a window of an item. ``items`` are the ids, as sorted strings,
     of the items that occur. A document is contaminated if at least one word in ``share`` is hit. A null
-    or empty text has no words. Repeated rows are treated alike, items without an id or a word
-    are never found. Without items nothing is hit.
+    or empty text has no words. Repeated rows are treated alike, items without a word are never found.
+    With ``unnamed`` items without an id hit words like any other and are one null at the end of ``items``;
+    without, they are never found. Without items nothing is hit.
     """
+    wanted = benchmark if unnamed else benchmark.where(F.col("item_id").isNotNull())
+    named = F.array_sort(F.collect_set("item"))
+    items = F.when(F.max(F.col("item").isNull()), F.array_append(named, F.lit(None))).otherwise(named)
     hits = (
-        find_hits(docs, benchmark, size)
+        find_hits(docs, wanted, size)
         .groupBy(*KEY)
-        .agg(F.collect_set(F.struct("start", "size")).alias("spans"), F.collect_set("item").alias("items"))
+        .agg(F.collect_set(F.struct("start", "size")).alias("spans"), items.alias("items"))
         .select(*KEY, F.size(_covered("spans")).cast("bigint").alias("hit"), "items")
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -107,7 +115,7 @@ def decontaminate(
         "row",
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce(F.array_sort("items"), F.array().cast("array<string>")).alias("items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 

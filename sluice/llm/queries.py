@@ -30,7 +30,7 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    found = decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), keep=["doc_id"])
+    found = decontaminate(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), keep=["doc_id"], unnamed=True)
     return found.select(
         "row.doc_id",
         "n_words",

@@ -46,6 +46,28 @@ def test_contamination_of_awkward_rows(table, documents, edges, result):
     assert not any(r["n_hit"] or r["contaminated"] for r in none.collect())
 
 
+def test_items_without_an_id_hit_words(spark, table, documents, tmp_path):
+    import corpus_pipeline
+    import duckdb
+
+    from sluice.llm.queries import OP2_SQL, op2_decontaminate
+
+    docs = [(1, "Some other text, here"), (2, "a named one and other text"), (3, "clean"), (4, None)]
+    items = [(None, "other text"), (None, "text here"), (7, "named one"), (8, None)]
+    documents(docs, 1).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark_of(table, items).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = op2_decontaminate(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["contaminated"]) for r in found} == {
+        1: (3, True), 2: (4, True), 3: (0, False), 4: (0, False),
+    }
+    with duckdb.connect() as sql:
+        for name in ("documents", "benchmark"):
+            sql.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+        assert sorted(tuple(r) for r in found) == sorted(sql.execute(OP2_SQL).fetchall())
+    kept = dict(corpus_pipeline.STAGES)["decontamination"](spark, documents(docs), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4]
+
+
 def test_hit_words_can_be_taken_out(table, documents, result):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     docs = documents([(1, f"Before, {item.upper()} after"), (2, "clean"), (3, None)])
