@@ -61,10 +61,14 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Data
         codes = F.transform("window", lambda word: F.xxhash64(word))
         wanted = windows.where(F.col("size") == length).select("item", "window", codes.alias("codes"))
         wanted = wanted.select(_window_hash(F.col("codes"), F.lit(0), length).alias("hash"), "item", "window")
-        starts = rows.select(*KEY, "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("start", "hash"))
-        met = starts.join(F.broadcast(wanted) if small else wanted, "hash").where(
-            F.slice("words", F.col("start") + 1, length) == F.col("window")
-        )
+        hashed = F.posexplode(_window_hashes(F.col("words"), length)).alias("start", "hash")
+        if small:
+            starts = rows.select(*KEY, "words", hashed)
+            met = starts.join(F.broadcast(wanted), "hash").where(
+                F.slice("words", F.col("start") + 1, length) == F.col("window")
+            )
+        else:
+            met = _met_by_shuffle(rows, rows.select(*KEY, hashed), wanted, length)
         part = met.select(*KEY, "start", F.lit(length).alias("size"), "item")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -72,6 +76,18 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Data
     return found
 
 
+def _met_by_shuffle(rows: DataFrame, starts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The windows of ``starts`` that are in ``wanted``: by hash first, then by the words of a window each.
+
+    A document's words move once and not with each of its windows.
+    """
+    hits = starts.join(wanted.select("hash").distinct().hint("merge"), "hash", "left_semi")
+    hits = hits.groupBy(*KEY).agg(F.collect_set(F.struct("start", "hash")).alias("hits"))
+    found = rows.join(hits.hint("merge"), KEY).select(*KEY, "words", F.explode("hits").alias("hit"))
+    window = F.slice("words", F.col("hit.start") + 1, length).alias("window")
+    return found.select(*KEY, "hit.start", "hit.hash", window).join(wanted.hint("merge"), ["hash", "window"])
+
+
 def _covered(spans: str) -> Column:
     """The places of all words inside the spans."""
     return F.array_distinct(

@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import pytest
@@ -36,6 +37,24 @@ def test_contamination_without_broadcast(table, documents, corpus, result, monke
     )
 
 
+def test_long_documents_without_broadcast(spark, table, documents, result, monkeypatch):
+    from sluice.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    random.seed(9)
+    words = [f"w{random.randrange(10**6)}" for _ in range(20_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[500:900])), (3, None)]
+    items = [(1, " ".join(words[300:700])), (2, " ".join(words[-40:])), (3, "elsewhere")]
+    found = decontaminate(documents(docs), benchmark_of(table, items))
+    assert contaminated(found, result) == sorted(brute.contamination(docs, items), key=repr)
+    # no exchange moves all words of a document with each of its windows
+    plan = find_hits(documents(docs), benchmark_of(table, items))._jdf.queryExecution()
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "formatted")
+    moved = [set(re.findall(r"(\w+)#", x)) for x in re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]", text)]
+    assert any("start" in names for names in moved)
+    assert not [names for names in moved if {"start", "words"} <= names]
+
+
 def test_contamination_of_awkward_rows(table, documents, edges, result):
     items = [(1, "no id here and a text that others have as well"), (2, "日本語"), (3, "long " * 20), (None, "other text")]
     found = decontaminate(documents(edges), benchmark_of(table, items))
