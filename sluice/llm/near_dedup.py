@@ -192,11 +192,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """``(_id, _t1, _t2, n_shingles, component, kept)`` for each row of ``docs`` (``doc_id``, ``text``).
+    """``(_id, _t1, _t2, n_shingles, component, root, kept)`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Documents are linked when ``100 * |A ∩ B| >= threshold * |A ∪ B|`` for their sets of shingles of ``words`` words,
     with A-Z lower-cased. ``component`` is the least id that a document reaches over links, a null
-    id before all others; ``kept`` marks the rows with that id.
+    id before all others; ``kept`` marks the rows with that id. ``root`` tells components of the same
+    least id apart; documents without words have none.
 
     Equal sets are one node from the start. Nodes with a common key are candidates; each is first
     checked against the node of its bucket that meets most others. Then, in buckets that still hold several
@@ -303,10 +304,11 @@ def _components_of_rows(measured: DataFrame, nodes: DataFrame, roots: DataFrame)
     in_node = nodes.select("s1", "s2", "node", F.col("_id").alias("least"))
     known = in_node.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("least").alias("component"))
-    classes = written(known.join(least.hint("merge"), "root").select("s1", "s2", "component"))
+    classes = written(known.join(least.hint("merge"), "root").select("s1", "s2", "component", "root"))
     some = measured.where("n_shingles > 0").join(classes.hint("merge"), ["s1", "s2"])
     none = measured.where("n_shingles = 0").withColumn("component", F.col("_id"))
-    columns = [*KEY, "n_shingles", "component"]
+    none = none.withColumn("root", F.lit(None).cast("bigint"))
+    columns = [*KEY, "n_shingles", "component", "root"]
     rows = some.select(*columns).unionByName(none.select(*columns))
     return rows.withColumn("kept", F.col("_id") == F.col("component"))
 
@@ -318,10 +320,22 @@ def near_dedup(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD)
     )
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` with the least id of their component, with all their columns."""
-    kept = near_copies(docs, words, threshold).where("kept").select(*KEY).distinct()
-    rows = docs.select(F.struct("*").alias("row"), *row_key())
-    return rows.join(kept.hint("merge"), KEY, "left_semi").select("row.*")
-
+def drop_near_copies(
+    docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, one_row: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component, with all their columns.
 
+    With ``one_row`` one row of each component stays, the least by id and text hash; of rows equal in both any one.
+    Documents without words are linked with nothing, so all of them stay.
+    """
+    found = near_copies(docs, words, threshold)
+    rows = docs.select(F.struct("*").alias("row"), *row_key())
+    if not one_row:
+        return rows.join(found.where("kept").select(*KEY).distinct().hint("merge"), KEY, "left_semi").select("row.*")
+    least = found.where("root is not null").groupBy("root").agg(F.min(F.struct(*KEY)).alias("least")).select("least.*")
+    empty = found.where("root is null").select(*KEY).distinct()
+    kept = least.withColumn("linked", F.lit(True)).unionByName(empty.withColumn("linked", F.lit(False)))
+    # equal rows with words share a tie, any other row has its own
+    tied = rows.withColumn("place", F.monotonically_increasing_id()).join(kept.hint("merge"), KEY)
+    tied = tied.withColumn("tie", F.when(F.col("linked"), F.lit(-1)).otherwise(F.col("place")))
+    return tied.dropDuplicates([*KEY, "tie"]).select("row.*")

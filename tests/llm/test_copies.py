@@ -54,6 +54,25 @@ def test_near_copies_of_awkward_rows(documents, edges, result):
     )
 
 
+def test_stage_keeps_one_row_of_near_copies(spark, documents):
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    one, two, three = (" ".join(f"{name}{k}" for k in range(60)) for name in "abc")
+    docs = [
+        (None, one), (None, one + " end"), (4, one), (None, one),
+        (8, two), (8, two), (8, three), (9, three + " end"),
+        (None, "a text of its own"), (5, ""), (5, ""), (6, None), (None, ""), (None, None),
+    ]
+    kept = stage(spark, documents(docs), "")
+    assert kept.columns == documents(docs).columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    of_one = [row for row in found if (row[1] or "").startswith("a0")]
+    assert of_one in ([(None, one)], [(None, one + " end")])
+    rest = [(8, two), (8, three), (None, "a text of its own"), (5, ""), (5, ""), (6, None), (None, ""), (None, None)]
+    assert sorted((row for row in found if row not in of_one), key=repr) == sorted(rest, key=repr)
+
+
 def test_components(table, result):
     random.seed(6)
     links = [(random.randrange(200), random.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 340)]
