@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import ensure_checkpoint_dir
@@ -22,6 +22,11 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder; the table goes when the session ends."""
+    return written_at(df)[0]
+
+
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the table's path."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     # the job's shuffle files are of no use once the table is there
@@ -34,9 +39,18 @@ def written(df: DataFrame) -> DataFrame:
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    _files(spark, path, lambda files, place: files.deleteOnExit(place))
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`written_at` that nothing reads any more."""
+    _files(spark, path, lambda files, place: files.delete(place, True))
+
+
+def _files(spark: SparkSession, path: str, use) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    use(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place)
 
 
 def id_of(name: str = "doc_id") -> Column:
