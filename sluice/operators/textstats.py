@@ -42,13 +42,6 @@ def _with_spaces(words: list[Column]) -> list[Column]:
     return spaced
 
 
-def ngram_counts(lines: DataFrame, max_words: int = MAX_WORDS, line: str = "value") -> DataFrame:
-    """``(phrase, cnt)`` over all lines."""
-    return (
-        ngrams(lines, max_words=max_words, line=line).groupBy("phrase").agg(F.count(F.lit(1)).alias("cnt"))
-    )
-
-
 def page_tokens(pages: DataFrame) -> DataFrame:
     """One ``(title, word)`` per word of each page; a page without words gives one empty word."""
     return pages.select("title", F.explode(page_words(F.col("body"))).alias("word"))
