@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.plans.layout import cut, keep_sorted
@@ -132,6 +132,68 @@ def pagerank_top(ranks: DataFrame, nodes: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
+def pagerank_within(
+    arcs: DataFrame,
+    nodes: DataFrame,
+    tolerance: float = 1e-3,
+    damping: float = 0.85,
+    limits: SkewLimits = DEFAULT_LIMITS,
+    sent: list[int] | None = None,
+) -> DataFrame:
+    """``(id, rank)``: what mode ``standard`` of :func:`pagerank` tends to, each rank within ``tolerance`` of itself.
+
+    Every node holds a rank and a residual, which is what it hasn't passed on yet. A step adds the residuals above a
+    bound to their nodes' ranks and sends them along the arcs; smaller ones wait until they have grown. When none
+    is above the bound, what is left can't change a rank by more than the tolerance. The rank of nodes without
+    out-arcs, which all nodes share, makes all ranks larger by one factor, known at the end. ``sent`` gets the number of rows sent in
+    each step.
+    """
+    count = nodes.select("id").count()
+    if nodes.select("id").distinct().count() < count:
+        raise ValueError("nodes must hold each id once")
+    links = _distinct_arcs(arcs)
+    out_degrees = cut(links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
+    layout = _SlottedArcs(links, "src", "dst", out_degrees, links.count(), limits)
+    teleport = float(1 - Decimal(str(damping)))
+    bound = tolerance * teleport * teleport
+    everyone = nodes.select("id").union(links.select("src")).union(links.select("dst")).distinct()
+    state = cut(
+        everyone.join(out_degrees, "id", "left").select(
+            "id", "degree", F.lit(0.0).alias("rank"), F.lit(teleport).alias("residual")
+        )
+    )
+    sends = F.col("residual") > bound
+    try:
+        while True:
+            going = state.where(sends).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("degree"), F.lit(0)).alias("rows")).first()
+            if not going["n"]:
+                break
+            if sent is not None:
+                sent.append(going["rows"])
+            shares = state.where(sends & F.col("degree").isNotNull()).select(
+                F.col("id").alias("src"), (F.col("residual") * damping / F.col("degree")).alias("share")
+            )
+            kept = state.select(
+                "id",
+                "degree",
+                (F.col("rank") + F.when(sends, F.col("residual")).otherwise(0.0)).alias("rank"),
+                F.when(sends, F.lit(0.0)).otherwise(F.col("residual")).alias("residual"),
+            )
+            received = layout.join(shares).select(
+                F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("degree"), F.lit(0.0).alias("rank"), F.col("share").alias("residual")
+            )
+            state = cut(
+                kept.unionByName(received)
+                .groupBy("id")
+                .agg(F.max("degree").alias("degree"), F.sum("rank").alias("rank"), F.sum("residual").alias("residual"))
+            )
+    finally:
+        layout.release()
+    dangling = state.where("degree is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass")).scalar()
+    factor = 1 / (1 - dangling * damping / (teleport * F.lit(float(max(count, 1)))))
+    return state.select("id", (F.col("rank") * factor).alias("rank"))
+
+
 def shortest_paths_to(
     arcs: DataFrame,
     seeds: DataFrame,
@@ -142,61 +204,108 @@ def shortest_paths_to(
 
     Of equally short paths the one whose steps have the smaller ids is taken. ``len`` counts nodes,
     ``parent`` is the next step (null for the seed). Nodes that cannot reach a seed give no row, nor do
-    seeds that are on no arc. All seeds are searched at once, one level of distance per step. The search
-    carries ids only; the paths are put together afterwards, each level's from those of the level before.
+    seeds that are on no arc. All seeds are searched at once, one level of distance per step, and 64 of them share a
+    row. The search carries ids only; the paths are put together afterwards, twice as long with each step.
     """
-    levels = _search(arcs, seeds, limits, levels_per_block)
-    nearer = cut(levels.where("len = 1").withColumn("path", F.array("id")))
-    found = [nearer]
-    depth = levels.agg(F.max("len").alias("depth")).first()["depth"] or 1
-    for distance in range(2, depth + 1):
-        ends = nearer.select("seed", F.col("id").alias("parent"), "path")
-        nearer = cut(
-            levels.where(F.col("len") == distance)
-            .join(ends.hint("merge"), ["seed", "parent"])
-            .select("seed", "id", "len", "parent", F.concat(F.array("id"), "path").alias("path"))
+    return paths_of(_search(arcs, seeds, limits, levels_per_block))
+
+
+def paths_of(found: DataFrame) -> DataFrame:
+    """``found`` (``seed``, ``id``, ``len``, ``parent``) with ``path``, the ids from ``id`` along the parents to the seed.
+
+    Every row holds the beginning of its path and the node after it. Joined with themselves the beginnings become twice as long, so a
+    path of n nodes takes about log2(n) steps.
+    """
+    rows = cut(found.select("seed", "id", "len", "parent", F.array("id").alias("path"), F.col("parent").alias("next")))
+    longest = rows.agg(F.max("len").alias("len")).first()["len"] or 1
+    for _ in range((longest - 1).bit_length()):
+        ends = rows.select("seed", F.col("id").alias("next"), F.col("path").alias("on"), F.col("next").alias("after"))
+        longer = (
+            rows.where("next is not null")
+            .join(ends.hint("merge"), ["seed", "next"])
+            .select("seed", "id", "len", "parent", F.concat("path", "on").alias("path"), F.col("after").alias("next"))
         )
-        found.append(nearer)
-    return _union_all(found)
+        rows = cut(rows.where("next is null").unionByName(longer))
+    return rows.drop("next")
+
+
+#: Seeds that share a row, as bits.
+SEEDS_PER_ROW = 64
+
+
+def _first_of_each_bit(offers: DataFrame, *keys: str) -> DataFrame:
+    """``offers`` (``keys``, ``parent``, ``bits``) with ``gain``: the bits that no smaller parent of the same key offers."""
+    smaller = Window.partitionBy(*keys).orderBy(F.col("parent").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.bit_or("bits").over(smaller), F.lit(0).cast("bigint"))
+    return offers.withColumn("gain", F.col("bits").bitwiseAND(F.bitwise_not(before)))
 
 
 def _search(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits, levels_per_block: int) -> DataFrame:
-    """``(seed, id, len, parent)`` of all nodes that reach a seed."""
+    """``(seed, id, len, parent)`` of all nodes that reach a seed.
+
+    The state has one row for each node and 64 seeds: which of them it has reached (``visited``) and which of them in the last step
+    (``fresh``). In a step the state and the offers of the nodes reached last meet in one shuffle. A state row counts
+    as the smallest parent there, so what is left of the others' bits is new, and is given to the smallest id that offers it.
+    """
     links = _distinct_arcs(arcs)
-    total = links.count()
     in_degrees = links.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    layout = _SlottedArcs(links, "dst", "src", in_degrees, total, limits)
+    layout = _SlottedArcs(links, "dst", "src", in_degrees, links.count(), limits)
+    out_degrees = links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    hot = cut(hot_keys(out_degrees, "id", "degree", limits))
+    some_hot = not hot.isEmpty()
     id_type = links.schema["dst"].dataType
     known = links.select(F.col("src").alias("seed")).union(links.select("dst")).distinct()
-    asked = seeds.select(F.col("seed").cast(id_type).alias("seed")).distinct()
-    frontier = cut(
-        known.join(asked, "seed").select(
-            "seed", F.col("seed").alias("id"), F.lit(1).alias("len"), F.lit(None).cast(id_type).alias("parent")
-        )
+    asked = cut(known.join(seeds.select(F.col("seed").cast(id_type).alias("seed")).distinct(), "seed"))
+    parts = 1 + asked.count() // (1 << 16)
+    numbered = cut(
+        asked.repartitionByRange(parts, "seed").sortWithinPartitions("seed").withColumn("number", F.monotonically_increasing_id())
     )
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("number") % SEEDS_PER_ROW).cast("int"))
+    start = numbered.select(F.col("seed").alias("id"), F.expr(f"number div {SEEDS_PER_ROW}").alias("block"), bit.alias("bits"))
+    state = cut(start.groupBy("id", "block").agg(F.bit_or("bits").alias("visited")).withColumn("fresh", F.col("visited")))
+    nothing = F.lit(None).cast(id_type)
+    levels = [state.select("id", "block", nothing.alias("parent"), F.col("visited").alias("gain"), F.lit(1).alias("len"))]
     blocks: list[DataFrame] = []
-    levels = [frontier]
+    key = Window.partitionBy("id", "block")
+    nearest = key.orderBy(F.col("parent").asc_nulls_first())
     distance = 1
     try:
-        while not frontier.isEmpty():
+        while True:
+            frontier = state.where("fresh <> 0").select(F.col("id").alias("dst"), "block", F.col("fresh").alias("bits"))
+            if frontier.isEmpty():
+                break
             distance += 1
-            offers = layout.join(frontier.select("seed", F.col("id").alias("dst"))).select(
-                "seed", F.col("src").alias("id"), F.col("dst").alias("parent")
+            offers = layout.join(frontier).select(
+                F.col("src").alias("id"), "block", F.col("dst").alias("parent"), "bits"
             )
-            best = offers.groupBy("seed", "id").agg(F.min("parent").alias("parent"))
-            seen = _union_all([part.select("seed", "id") for part in blocks + levels])
-            frontier = cut(
-                best.join(seen, ["seed", "id"], "left_anti").select(
-                    "seed", "id", F.lit(distance).alias("len"), "parent"
-                )
+            if some_hot:
+                # a node with very many arcs out gets few offers for each slot first
+                slotted = offers.withColumn("hot", F.xxhash64("id")).join(F.broadcast(hot), "hot", "left")
+                slotted = slotted.withColumn("slot", slot_of(F.col("fan"), ["parent"]))
+                thinned = _first_of_each_bit(slotted, "id", "block", "slot").where("gain <> 0")
+                offers = thinned.select("id", "block", "parent", F.col("gain").alias("bits"))
+            before = state.select("id", "block", nothing.alias("parent"), F.col("visited").alias("bits"))
+            met = _first_of_each_bit(before.unionByName(offers), "id", "block")
+            seen = F.coalesce(F.bit_or(F.when(F.col("parent").isNull(), F.col("bits"))).over(key), F.lit(0).cast("bigint"))
+            met = (
+                met.withColumn("visited", F.bit_or("bits").over(key))
+                .withColumn("fresh", F.col("visited").bitwiseAND(F.bitwise_not(seen)))
+                .withColumn("first", F.row_number().over(nearest) == 1)
+            )
+            step = cut(met.where("first or gain <> 0").drop("bits"))
+            state = step.where("first").select("id", "block", "visited", "fresh")
+            levels.append(
+                step.where("parent is not null and gain <> 0").select("id", "block", "parent", "gain", F.lit(distance).alias("len"))
             )
-            levels.append(frontier)
             if len(levels) >= levels_per_block:
                 blocks.append(cut(_union_all(levels)))
                 levels = []
     finally:
         layout.release()
-    return cut(_union_all(blocks + levels))
+    places = F.filter(F.sequence(F.lit(0), F.lit(SEEDS_PER_ROW - 1)), lambda place: F.bit_get("gain", place) == 1)
+    found = _union_all(blocks + levels).select("id", "block", "parent", "len", F.explode(places).alias("place"))
+    found = found.withColumn("number", F.col("block") * SEEDS_PER_ROW + F.col("place"))
+    return found.join(numbered, "number").select("seed", "id", "len", "parent")
 
 
 def _union_all(parts: list[DataFrame]) -> DataFrame:

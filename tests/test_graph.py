@@ -80,3 +80,103 @@ def test_levels_written_together_change_nothing(table, result):
     usual = result(sluice.shortest_paths_to(chain, seeds))
     assert result(sluice.shortest_paths_to(chain, seeds, levels_per_block=3)) == usual
     assert usual[-1][4] == [9, 8, 7, 6, 5, 4, 3, 2, 1, 0]
+
+
+def plain_paths(rows, seeds):
+    """For each seed and node the shortest path, among equals the one with the smaller next id at each step."""
+    into = {}
+    for src, dst in rows:
+        into.setdefault(dst, set()).add(src)
+    known = {x for row in rows for x in row}
+    out = []
+    for seed in set(seeds) & known:
+        level, paths = [seed], {seed: [seed]}
+        out.append((seed, seed, 1, None, [seed]))
+        while level:
+            offers = {}
+            for node in level:
+                for src in into.get(node, ()):
+                    if src not in paths:
+                        offers[src] = min(node, offers.get(src, node))
+            paths |= {src: [src, *paths[node]] for src, node in offers.items()}
+            out += [(seed, src, len(paths[src]), node, paths[src]) for src, node in offers.items()]
+            level = list(offers)
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("limits", [SkewLimits(), TINY])
+def test_many_seeds_share_rows(table, result, limits):
+    random.seed(12)
+    rows = {(random.randrange(90), random.randrange(90)) for _ in range(260)} | {(3, k) for k in range(90)} | {(k, 4) for k in range(90)}
+    # more than 64, some not in the graph
+    seeds = [*range(0, 100), 500]
+    found = sluice.shortest_paths_to(
+        table("src bigint, dst bigint", *rows), table("seed bigint", *[(s,) for s in seeds]), limits=limits
+    )
+    assert result(found) == plain_paths(rows, seeds)
+
+
+def test_ids_may_be_text(table, result):
+    rows = [("b", "a"), ("c", "a"), ("d", "c"), ("d", "b"), ("é", "d")]
+    found = sluice.shortest_paths_to(table("src string, dst string", *rows), table("seed string", ("a",), ("d",)))
+    assert result(found) == plain_paths(rows, ["a", "d"])
+
+
+def jobs_of(spark, work):
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        out = work()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_paths_take_few_jobs(spark, result):
+    chain = spark.range(1000).selectExpr("0L as seed", "id", "int(id + 1) as len", "if(id = 0, null, id - 1) as parent")
+    found, jobs = jobs_of(spark, lambda: sluice.paths_of(chain))
+    last = found.where("id = 999").first()
+    assert last["path"] == list(range(999, -1, -1)) and found.where("size(path) <> len").count() == 0
+    # ten steps of a few jobs, not a thousand
+    assert jobs < 80
+
+
+def test_seeds_share_the_state_of_a_node(table):
+    from sluice.operators.graph import _first_of_each_bit
+
+    # two parents offer overlapping seeds: the smaller one gets those both have, and a row is left for each that gains some
+    offers = table("id bigint, block bigint, parent bigint, bits bigint", (1, 0, 5, 0b0110), (1, 0, 3, 0b0011), (1, 0, 9, 0b0001), (1, 1, 9, 0b1), (1, 0, None, 0b1000))
+    gains = {(r["block"], r["parent"]): r["gain"] for r in _first_of_each_bit(offers, "id", "block").collect()}
+    assert gains == {(0, None): 0b1000, (0, 3): 0b0011, (0, 5): 0b0100, (0, 9): 0, (1, 9): 1}
+
+
+def test_ranks_within_a_tolerance(spark, table, result):
+    import duckdb
+    import oracles
+
+    data = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"create view {name} as select * from '{data}/{name}.parquet'")
+    exact = dict(con.execute(oracles._pagerank(100, True) + " select id, rank from r100").fetchall())
+    from sluice import workload
+
+    for tolerance in (0.1, 0.001):
+        sent = []
+        ranks = sluice.pagerank_within(workload.arcs(spark, data), workload.nodes(spark, data), tolerance, sent=sent)
+        found = dict(result(ranks))
+        assert found.keys() == exact.keys()
+        assert max(abs(found[k] / exact[k] - 1) for k in exact) <= tolerance
+        # fewer and fewer nodes have anything to pass on
+        half = len(sent) // 2
+        assert sent[0] == max(sent) and sum(sent[half:]) < sum(sent[: len(sent) - half]) and sent[-1] < sent[0] / 4
+
+
+def test_ranks_with_nodes_that_pass_nothing_on(table, result):
+    arcs, nodes = small_graph(table)
+    plain = dict(result(sluice.pagerank(arcs, nodes, iterations=60, mode="standard")))
+    found = dict(result(sluice.pagerank_within(arcs, nodes, 1e-4)))
+    assert found == pytest.approx(plain, rel=1e-4)
+    assert result(sluice.pagerank_within(arcs.limit(0), nodes, 0.01)) == [(x, pytest.approx(1.0)) for x in "abcd"]
+    assert result(sluice.pagerank_within(arcs.limit(0), nodes.limit(0))) == []
+    with pytest.raises(ValueError, match="once"):
+        sluice.pagerank_within(arcs, nodes.union(nodes))
