@@ -12,21 +12,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.text import query_term
 from sluice.operators.langmodel import suggest
+from sluice.operators.lookup import BROADCAST_BYTES
 from sluice.operators.oplog import kv_latest
 
 
-#: Distinct terms of a batch up to which they are broadcast to the model; beyond, both are shuffled.
+#: Distinct terms of a batch up to which they are broadcast to the model, if they are short; beyond, both are shuffled.
 BROADCAST_TERMS = 100_000
 
 
-def _start(stream: DataFrame, write_batch, mode: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+def start_stream(stream: DataFrame, write_batch, mode: str, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def _batch_writer(path: str, answer):
+def batch_writer(path: str, answer):
     def write_batch(batch: DataFrame, number: int) -> None:
         answer(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
@@ -42,7 +43,8 @@ def write_model_table(model: DataFrame, name: str, buckets: int) -> DataFrame:
 def _answer_batch(model: DataFrame, most: int):
     def answer(batch: DataFrame) -> DataFrame:
         asked = batch.select("term").where("term is not null").distinct()
-        if asked.limit(most + 1).count() > most:
+        size = asked.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term") * 2 + 64).alias("bytes")).first()
+        if size["n"] > most or (size["bytes"] or 0) > BROADCAST_BYTES:
             return suggest(asked, model)
         asked = F.broadcast(asked.withColumn("prefix", query_term(F.col("term"))))
         return model.join(asked, "prefix").select(
@@ -62,11 +64,11 @@ def suggest_stream(
 ) -> StreamingQuery:
     """Answer arriving terms from a written ``model``, as :func:`suggest` does, into ``path``.
 
-    The terms go to the model: they are broadcast if a batch has at most ``broadcast_terms`` different ones, otherwise
+    The terms go to the model: they are broadcast if a batch has at most ``broadcast_terms`` different ones of 8 MB together, otherwise
     they are shuffled, and a model from :func:`write_model_table` still stays in place.
     """
     answer = _answer_batch(model, broadcast_terms)
-    write = _batch_writer(path, answer)
+    write = batch_writer(path, answer)
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
@@ -75,7 +77,7 @@ def suggest_stream(
         finally:
             batch.unpersist()
 
-    return _start(terms, write_batch, "append", checkpoint, available_now)
+    return start_stream(terms, write_batch, "append", checkpoint, available_now)
 
 
 def kv_latest_stream(
@@ -89,7 +91,7 @@ def kv_latest_stream(
     # so that the folder has a schema before the first batch; an older start's rows stay
     nothing = ops.sparkSession.createDataFrame([], latest.schema)
     nothing.write.mode("ignore").parquet(f"{path}/batch=-1")
-    return _start(latest, _batch_writer(path, lambda batch: batch), "update", checkpoint, available_now)
+    return start_stream(latest, batch_writer(path, lambda batch: batch), "update", checkpoint, available_now)
 
 
 def read_suggestions(spark: SparkSession, path: str) -> DataFrame:

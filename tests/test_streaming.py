@@ -56,3 +56,63 @@ def test_latest_before_any_batch(spark, table, tmp_path, result):
     out = str(tmp_path / "out")
     sluice.kv_latest_stream(stream, out, str(tmp_path / "progress"), available_now=True).awaitTermination()
     assert result(sluice.read_latest(spark, out)) == []
+
+
+OPS = "op_id bigint, ts timestamp, key string, op string, value string, loc int"
+
+
+def operations(seed, n=60):
+    import datetime as dt
+    import random
+
+    random.seed(seed)
+    begin = dt.datetime(2026, 1, 1)
+    rows = []
+    for k in range(n):
+        at = begin + dt.timedelta(seconds=random.randrange(40), microseconds=random.choice([0, 0, 1, 999_999]))
+        op = random.choice(["put", "get", "get"])
+        rows.append((k, at, f"k{k % 4}", op, random.choice([f"v{k}", None]) if op == "put" else None, k % 3))
+    return rows
+
+
+def test_reads_in_time_order_of_shuffled_input(spark, table, tmp_path, result):
+    import datetime as dt
+
+    rows = operations(1)
+    # what pushes the watermark past all others comes last
+    end = dt.datetime(2026, 1, 2)
+    ops, last = table(OPS, *rows), table(OPS, (999, end, "end", "get", None, 0), (998, None, "k1", "put", "x", 0), (997, end, None, "get", None, 0))
+    path, out, progress = (str(tmp_path / name) for name in ("ops", "out", "progress"))
+    stream = in_files(spark, ops, path, 4)
+
+    def run():
+        sluice.kv_read_asof_stream(stream, out, progress, "1 minute", available_now=True).awaitTermination()
+
+    run()
+    # nothing is older than the watermark yet
+    assert result(sluice.read_answers(spark, out)) == []
+    last.coalesce(1).write.mode("append").parquet(path)
+    run()
+    assert result(sluice.read_answers(spark, out)) == result(sluice.kv_read_asof(ops).select("op_id", "key", "ts", "loc", "value"))
+
+
+def test_late_operations_are_left_out(spark, table, tmp_path, result):
+    import datetime as dt
+
+    at = lambda s: dt.datetime(2026, 1, 1, 0, 0, s)
+    path, out, progress = (str(tmp_path / name) for name in ("ops", "out", "progress"))
+    table(OPS, (1, at(1), "k", "put", "a", 1), (2, at(20), "k", "get", None, 1)).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+    def run(*rows):
+        if rows:
+            table(OPS, *rows).coalesce(1).write.mode("append").parquet(path)
+        query = sluice.kv_read_asof_stream(stream, out, progress, "0 seconds", available_now=True)
+        query.awaitTermination()
+        return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+    assert run() == 0
+    assert result(sluice.read_answers(spark, out), "op_id", "value") == [(2, "a")]
+    # the watermark has reached 20 seconds: a put and a get before it, and a get after it
+    assert run((3, at(5), "k", "put", "late", 1), (4, at(6), "k", "get", None, 1), (5, at(30), "k", "get", None, 1)) == 2
+    assert result(sluice.read_answers(spark, out), "op_id", "value") == [(2, "a"), (5, "a")]
