@@ -89,6 +89,51 @@ def parse_edge_list(lines: DataFrame, rejects: Observation | None = None) -> Dat
     )
 
 
+def parse_pairs(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
+    """``src⇥dst`` numbers, nothing else on the line, to distinct ``(src, dst)``."""
+    parts = F.split(F.col("value"), "\t")
+    src, dst = (F.get(parts, F.lit(k)).try_cast("bigint") for k in (0, 1))
+    content = lines.where(F.trim("value") != "")
+    valid = (F.size(parts) == 2) & src.isNotNull() & dst.isNotNull()
+    return _keep_valid(content, valid, rejects).select(src.alias("src"), dst.alias("dst")).distinct()
+
+
+def parse_adjacency(lines: DataFrame, rejects: Observation | None = None) -> DataFrame:
+    """Whitespace-separated ``id degree neighbour...`` numbers to distinct ``(src, dst)``, an arc to each neighbour.
+
+    A line is left out as a whole where the degree isn't the number of neighbours or anything is no number. A node may have
+    several lines. Neighbours go from the line to rows and are never gathered by node.
+    """
+    spaced = F.trim(F.regexp_replace(F.col("value"), r"\s+", " "))
+    fields_of = F.split(spaced, " ")
+    read = lines.where(spaced != "").select(
+        F.col("value"), F.transform(fields_of, lambda part: part.try_cast("bigint")).alias("numbers")
+    )
+    whole = ~F.exists("numbers", lambda number: number.isNull())
+    valid = (F.size("numbers") >= 2) & whole & (F.get("numbers", F.lit(1)) == F.size("numbers") - 2)
+    kept = _keep_valid(read, valid, rejects)
+    arcs = kept.select(
+        F.get("numbers", F.lit(0)).alias("src"), F.posexplode("numbers").alias("place", "dst")
+    )
+    return arcs.where("place >= 2").select("src", "dst").distinct()
+
+
+#: Graph formats by name: distinct ``(src, dst)`` from lines.
+GRAPH_FORMATS = {"snap": parse_edge_list, "tsv": parse_pairs, "adj": parse_adjacency}
+
+
+def parse_graph(lines: DataFrame, format: str = "snap", rejects: Observation | None = None) -> DataFrame:
+    """``(src, dst)`` from lines in a format of :data:`GRAPH_FORMATS`; ``rejects`` receives the lines left out as ``rejected``."""
+    if format not in GRAPH_FORMATS:
+        raise ValueError(f"format must be one of {', '.join(GRAPH_FORMATS)}, not {format!r}")
+    return GRAPH_FORMATS[format](lines, rejects)
+
+
+def read_graph(spark: SparkSession, path: str, format: str = "snap", rejects: Observation | None = None) -> DataFrame:
+    """``(src, dst)`` from the files at ``path``."""
+    return parse_graph(read_lines(spark, path), format, rejects)
+
+
 def parse_seeds(lines: DataFrame) -> DataFrame:
     """Whitespace-separated numbers to distinct ``(seed)``."""
     words = lines.select(F.explode(F.split(F.col("value"), r"\s+")).alias("word"))

@@ -116,3 +116,34 @@ def test_export_lines(spark, table, tmp_path):
     path = str(tmp_path / "items")
     sinks.write_items(sluice.photo_export(table("userid string, time string, url string", ("5", "t", "u"))), path)
     assert written(spark, path) == ['url\x03{"s":"u"}\x02userid\x03{"n":"5"}\x02time\x03{"s":"t"}']
+
+
+@pytest.mark.parametrize(
+    ("format", "lines", "arcs", "rejected"),
+    [
+        ("snap", ["# from to", "1\t2", " 3   4 ", "5", "a b", "", "1 2"], [(1, 2), (3, 4)], 2),
+        ("tsv", ["1\t2", "-3\t4", "1 2", "1\t2\t3", "a\t1", "", "1\t2"], [(-3, 4), (1, 2)], 3),
+        (
+            "adj",
+            ["1 2 3 4", "2\t1  5", "3 0", "4 1", "5 1 2 3", "6 1 x", "x 1 2", "7", "", "1 1 3", " 8 -1", "9 1 1 "],
+            [(1, 3), (1, 4), (2, 5), (9, 1)],
+            6,
+        ),
+    ],
+)
+def test_graph_formats(spark, tmp_path, result, format, lines, arcs, rejected):
+    path = tmp_path / "graph.txt"
+    path.write_text("\n".join(lines) + "\n")
+    seen = Observation()
+    assert result(sluice.read_graph(spark, str(path), format, seen)) == sorted(arcs, key=repr)
+    assert seen.get["rejected"] == rejected
+
+
+def test_unknown_graph_format(table):
+    with pytest.raises(ValueError, match="snap, tsv, adj"):
+        sluice.parse_graph(table("value string"), "graphml")
+
+
+def test_a_long_adjacency_line(table):
+    line = f"7 200000 {' '.join(map(str, range(200_000)))}"
+    assert sluice.parse_graph(table("value string", (line,)), "adj").count() == 200_000
