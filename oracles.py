@@ -124,10 +124,11 @@ r{step} as materialized (
     return "with " + ",".join(parts)
 
 
-PATHS = (
-    "with recursive " + ARCS + """,
+def _paths(seeds: int) -> str:
+    return (
+        "with recursive " + ARCS + f""",
 seeds as (
-  select dst as seed from arcs group by dst order by count(*) desc, dst limit 2
+  select dst as seed from arcs group by dst order by count(*) desc, dst limit {seeds}
 ),
 reached(seed, id, len, parent, path) using key (seed, id) as (
   select seed, seed, 1, cast(null as bigint), cast(seed as varchar) from seeds
@@ -138,7 +139,8 @@ reached(seed, id, len, parent, path) using key (seed, id) as (
   group by r.seed, a.src
 )
 select seed, id, cast(len as integer) as len, parent, path from reached"""
-)
+    )
+
 
 USERS = """
 users as (select c_custkey as userid, c_mktsegment as password, c_name as name from customer),
@@ -206,13 +208,79 @@ select key, arg_max(value, row(ts, op_id)) as value from operations where is_put
 )
 
 
+# requests of workload.request_lines, as they are meant
+ASKED = """
+asked as (
+  select '/step' || route || '?' || case kind
+           when 0 then 'id=' || c_custkey when 1 then 'id=' || c_custkey || '&id=' || c_custkey when 2 then 'x=2'
+           when 3 then 'id=' when 4 then '%69d=' || regexp_replace(cast(c_custkey as varchar), '([0-9])', '%3\\1', 'g')
+           when 5 then 'id=%zz' || c_custkey when 6 then '&&x=1&id=' || c_custkey || '&=3&id2=7' else 'id' end
+         || '&pwd=' || case when kind = 4 then '%' || hex(tried[1]) || tried[2:] else tried end
+         || case when c_custkey % 11 = 0 then '&pwd=' else '' end || case when kind = 6 then '#id=5' else '' end as request,
+         cast(route as varchar) as route,
+         case when kind in (0, 4, 6) then cast(c_custkey as varchar) when kind in (3, 7) then '' end as userid,
+         case when c_custkey % 11 <> 0 and kind <> 5 then tried end as password
+  from (
+    select *, (c_custkey + route) % 8 as kind, case when c_custkey % 3 = 0 then 'guess' else c_mktsegment end as tried
+    from customer, generate_series(1, 4) t(route)
+  )
+)"""
+
+ANSWERS = (
+    "with " + USERS + "," + FRIENDS + "," + PHOTOS + """,
+people as (select cast(userid as varchar) as userid, password, name from users),
+photo_of as (select cast(userid as varchar) as userid, time, url from photos),
+lists as (
+  select cast(userid as varchar) as userid, string_agg(friend, ',' order by friend) as friends from friends group by userid
+),
+entries as (
+  select f.userid, f.friend, coalesce(u.name, 'Unauthorized') as name, coalesce(p.time, '') as time, coalesce(p.url, '') as url
+  from friends f left join people u on u.userid = f.friend left join photo_of p on p.userid = f.friend
+),
+shown as (
+  select cast(userid as varchar) as userid, string_agg(time || '|' || name || '|' || url, ';' order by time, name) as photos from (
+    select *, row_number() over (partition by userid, time, name order by friend) as nth from entries
+  ) where nth = 1 group by userid
+),""" + ASKED + """,
+judged as (
+  select distinct a.*, a.userid is null or (a.password is null and route in ('1', '4')) as bad, coalesce(u.name, 'Unauthorized') as said
+  from asked a left join people u on u.userid = a.userid and u.password = a.password
+)
+select request, case when bad then 'bad request' end as err,
+       case when not bad and route in ('1', '4') then said end as name,
+       case when not bad and route = '2' then coalesce(friends, '') end as friends,
+       case when not bad and route = '3' then coalesce(time, '') end as time,
+       case when not bad and route = '3' then coalesce(url, '') end as url,
+       case when not bad and route = '4' and said <> 'Unauthorized' then coalesce(photos, '') end as photos
+from judged j left join lists l on l.userid = j.userid left join photo_of p on p.userid = j.userid
+left join shown s on s.userid = j.userid"""
+)
+
+ADJACENCY = """
+select distinct l_orderkey as src, l_partkey as dst
+from lineitem where l_orderkey % 7 <> 0 and l_orderkey % 11 <> 0"""
+
+
+AS_OF = (
+    "with " + OPERATIONS + """,
+gets as (select * from operations where not is_put),
+puts as (select * from operations where is_put)
+select g.op_id, g.key, g.ts, g.loc, arg_max(p.value, row(p.ts, p.op_id)) as value
+from gets g left join puts p on p.key = g.key and (p.ts < g.ts or (p.ts = g.ts and p.op_id < g.op_id))
+group by all"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ngrams": "with " + GRAMS + " select doc_id, phrase, count(*) as cnt from grams group by doc_id, phrase",
         "ngram_counts": "with " + COUNTS + " select phrase, cnt from counts",
         "language_model": "with " + MODEL + " select prefix, rank, word, cnt, prob from model",
+        "language_model_levels": "with " + MODEL + " select prefix, rank, word, cnt, prob from model",
         "suggest": SUGGEST,
         "suggest_stream": SUGGEST,
+        "suggest_lookup": SUGGEST,
+        "language_model_kept": "with " + MODEL + " select prefix, rank, word, cnt, prob from model",
         "suggest_response": f"""
 select term, cast(rank - 1 as integer) as place, label, probability from ({SUGGEST})""",
         "parse_pages": """
@@ -231,7 +299,11 @@ from documents where doc_id % 7 = 0 and contains(text, chr(9))""",
         "pagerank_standard": _pagerank(10, True) + " select id, floor(rank * 1e6 + 0.5) / 1e6 as rank from r10",
         "pagerank_top": _pagerank(10, False) + """
 select title, floor(rank * 1e6 + 0.5) / 1e6 as rank from r10 join nodes using (id) order by 2 desc, id limit 100""",
-        "shortest_paths_to": PATHS,
+        "shortest_paths_to": _paths(2),
+        "shortest_paths_many": _paths(64),
+        "parse_adjacency": ADJACENCY,
+        "parse_requests": "with " + ASKED + " select request, route, userid, password from asked",
+        "answer_requests": ANSWERS,
         "login": "with " + USERS + " select userid, password, name, err from answers",
         "friend_list": "with " + FRIENDS + " select userid, friend from friends",
         "login_response": "with " + USERS + " select userid, password, name, err from answers",
@@ -258,12 +330,9 @@ select cast(o_custkey as varchar) as userid,
        'userid' || chr(3) || '{"n":"' || o_custkey || '"}' || chr(2) ||
        'time' || chr(3) || '{"s":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}' as item
 from orders where o_orderkey % 10 not in (0, 2)""",
-        "kv_read_asof": "with " + OPERATIONS + """,
-gets as (select * from operations where not is_put),
-puts as (select * from operations where is_put)
-select g.op_id, g.key, g.ts, g.loc, arg_max(p.value, row(p.ts, p.op_id)) as value
-from gets g left join puts p on p.key = g.key and (p.ts < g.ts or (p.ts = g.ts and p.op_id < g.op_id))
-group by all""",
+        "kv_read_asof": AS_OF,
+        # the watermark counts milliseconds
+        "kv_read_asof_stream": f"select * from ({AS_OF}) where ts <= (select date_trunc('milliseconds', max(ts)) from events)",
         "kv_latest": LATEST,
         "kv_latest_stream": LATEST,
     }

@@ -61,13 +61,33 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
 
 
-def seeds(links: DataFrame) -> DataFrame:
-    """The two targets with most in-arcs."""
+def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line for each order: a node, its degree, and the parts as neighbours; of every seventh order the degree is wrong,
+    and of every eleventh one neighbour is no number."""
+    listed = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("lines"))
+    )
+    key = F.col("l_orderkey")
+    degree = F.size("lines") + F.when(key % 7 == 0, 1).otherwise(0)
+    parts = F.transform("lines", lambda line: line["l_partkey"].cast("string"))
+    neighbours = F.when(key % 11 == 0, F.concat(F.slice(parts, 1, F.size("lines") - 1), F.array(F.lit("x")))).otherwise(parts)
+    return listed.select(F.concat(key.cast("string"), F.lit("  "), degree.cast("string"), F.lit("\t"), F.array_join(neighbours, " ")).alias("value"))
+
+
+def many_seeds(links: DataFrame) -> DataFrame:
+    """The 64 targets with most in-arcs."""
+    return seeds(links, 64)
+
+
+def seeds(links: DataFrame, most: int = 2) -> DataFrame:
+    """The ``most`` targets with most in-arcs."""
     return (
         links.groupBy(F.col("dst").alias("seed"))
         .agg(F.count(F.lit(1)).alias("degree"))
         .orderBy(F.desc("degree"), "seed")
-        .limit(2)
+        .limit(most)
         .select("seed")
     )
 
@@ -91,6 +111,33 @@ def login_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return real.unionByName(unknown).unionByName(broken)
 
 
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each customer a request to each route: plain, with an id twice, without one, with an empty one, escaped, with a broken escape,
+    among other parameters, or with a name only; some passwords are wrong and some come twice."""
+    customer = table(spark, sf_dir, "customer")
+    key, word = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    routes = customer.select("c_custkey", "c_mktsegment", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("route"))
+    kind = (F.col("c_custkey") + F.col("route")) % 8
+    asked = (
+        F.when(kind == 0, F.concat(F.lit("id="), key))
+        .when(kind == 1, F.concat(F.lit("id="), key, F.lit("&id="), key))
+        .when(kind == 2, F.lit("x=2"))
+        .when(kind == 3, F.lit("id="))
+        .when(kind == 4, F.concat(F.lit("%69d="), F.regexp_replace(key, "([0-9])", "%3$1")))
+        .when(kind == 5, F.concat(F.lit("id=%zz"), key))
+        .when(kind == 6, F.concat(F.lit("&&x=1&id="), key, F.lit("&=3&id2=7")))
+        .otherwise(F.lit("id"))
+    )
+    tried = F.when(F.col("c_custkey") % 3 == 0, F.lit("guess")).otherwise(word)
+    escaped = F.concat(F.lit("%"), F.hex(F.substring(tried, 1, 1)), F.substring(tried, 2, 100))
+    password = F.concat(F.lit("&pwd="), F.when(kind == 4, escaped).otherwise(tried))
+    twice = F.when(F.col("c_custkey") % 11 == 0, F.lit("&pwd=")).otherwise(F.lit(""))
+    end = F.when(kind == 6, F.lit("#id=5")).otherwise(F.lit(""))
+    return routes.select(
+        F.concat(F.lit("/step"), F.col("route").cast("string"), F.lit("?"), asked, password, twice, end).alias("value")
+    )
+
+
 def friend_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order one cell of two friends, with empty parts at its end for every other order.
 
