@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,18 +22,17 @@ BASE_KINDS = KINDS[:4]
 # fixed patterns of the base kinds
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# from a digit inside a run nothing is found that isn't found from the run's first one
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 # high-recall generators: written-out mail addresses, and any longer run of digits and separators
-_WRITTEN_MAIL = re.compile(
-    r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]+)+", re.IGNORECASE
-)
+_AT = re.compile(r"[\[(]at[\])]", re.IGNORECASE)
+_WRITTEN_DOMAIN = re.compile(r" ?[A-Za-z0-9-]+(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]+)+", re.IGNORECASE)
 _NUMBER = re.compile(r"\+?[(]?[0-9][0-9 ()./-]{4,}[0-9]")
 _ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
-_AT = re.compile(r"[\[(]at[\])]", re.IGNORECASE)
 GENERATORS = ("number", "account", "mail")
 
 Span = tuple[str, int, int]
@@ -60,6 +60,22 @@ def _emails(text: str) -> Iterator[Span]:
         at = text.find("@", max(at + 1, free))
 
 
+def _written_mails(text: str) -> Iterator[tuple[int, int]]:
+    """From each ``(at)`` outwards, as far left as letters reach, but not inside the match before."""
+    free = 0
+    for at in _AT.finditer(text):
+        if at.start() < free:
+            continue
+        last = at.start() - (text[at.start() - 1 : at.start()] == " ")
+        start = last
+        while start > free and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _WRITTEN_DOMAIN.match(text, at.end()) if start < last else None
+        if domain:
+            yield start, domain.end()
+            free = domain.end()
+
+
 def _digits(text: str) -> str:
     return "".join(_DIGIT.findall(text))
 
@@ -92,7 +108,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
         found.update(match.span() for match in _CARD.finditer(text) if match.end() - match.start() >= 9)
         found.update(match.span() for match in _ACCOUNT.finditer(text))
     if _AT.search(text):
-        found.update(match.span() for match in _WRITTEN_MAIL.finditer(text))
+        found.update(_written_mails(text))
     return sorted(found)
 
 
@@ -194,8 +210,33 @@ def examples(text: str) -> list[tuple[list[float], bool, bool, int]]:
     return found
 
 
+class _Covered:
+    """Stretches that don't overlap, in order, to be asked whether a span meets any of them."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()):
+        self._starts: list[int] = []
+        self._ends: list[int] = []
+        for start, end in sorted(spans):
+            if self._ends and start <= self._ends[-1]:
+                self._ends[-1] = max(self._ends[-1], end)
+            else:
+                self._starts.append(start)
+                self._ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self._starts, end)
+        return before > 0 and self._ends[before - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none."""
+        place = bisect_left(self._starts, start)
+        self._starts.insert(place, start)
+        self._ends.insert(place, end)
+
+
 def _outside(spans: list[tuple[int, int]], base: list[Span]) -> list[tuple[int, int]]:
-    return [(a, b) for a, b in spans if not any(a < y and x < b for _, x, y in base)]
+    covered = _Covered([(start, end) for _, start, end in base])
+    return [span for span in spans if not covered.meets(*span)]
 
 
 _CUES = ("mail", "tel", "call", "phone", "card", "ip", "addr", "contact", "visa", "iban", "account", "id")
@@ -353,9 +394,11 @@ def added_spans(text: str, base: list[Span], model: BoostedTrees) -> list[Span]:
         return []
     odds = model.log_odds(np.array([features(text, a, b) for a, b in free]))
     chosen: list[Span] = []
+    covered = _Covered()
     for k in sorted(range(len(free)), key=lambda k: (-odds[k], free[k])):
         a, b = free[k]
-        if odds[k] >= model.threshold_of(text[a:b]) and not any(a < y and x < b for _, x, y in chosen):
+        if odds[k] >= model.threshold_of(text[a:b]) and not covered.meets(a, b):
+            covered.add(a, b)
             chosen.append(("other", a, b))
     return sorted(chosen, key=lambda span: span[1])
 
@@ -364,7 +407,7 @@ def find_personal(docs: DataFrame, model: BoostedTrees) -> DataFrame:
     """``(doc_id, spans)`` per row: all spans as ``(kind, start, end)`` in code points, by kind and start.
 
     The base spans are always among them; ``other`` spans are the ones that the trees add. A null
-    text has none. Repeated rows and rows without an id are treated like any other, and other columns are not read.
+    or empty text has none, an empty table gives no rows, and a long text takes time in proportion to its length. Repeated rows and rows without an id are treated like any other, and other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
