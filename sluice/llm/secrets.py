@@ -176,7 +176,8 @@ def _log_shares(counts: list[float]) -> list[float]:
 
 def random_words(text: Column, ratios: list[float]) -> Column:
     """``(kind, start, size, value)`` of the words with letters and digits that the model holds for random."""
-    table = F.lit(ratios)
+    # one literal that Spark turns into an array once, not thousands of them
+    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
 
     def is_random(m: Column) -> Column:
         ratio = F.aggregate(_pairs(m["value"]), F.lit(0.0), lambda total, pair: total + F.get(table, pair))
