@@ -100,7 +100,8 @@ def line_dedup(
     A line's key is the line without blanks at its ends and with A-Z lower-cased. Keys of at least ``min_chars``
     characters that ``min_docs`` documents hold lose all their lines but those of the largest id.
     A null or empty text is one empty line. Rows of one id are one document, each with its
-    own lines; rows without an id are one document before all others.
+    own lines; rows without an id are one document before all others. An empty table gives no rows. A text of any length is
+    cut into lines within its row, and all its long lines leave it as hashes.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"), *row_key())
     lines = rows.select(*KEY, F.posexplode(_lines(F.col("text"))).alias("place", "line"))

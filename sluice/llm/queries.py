@@ -147,6 +147,39 @@ def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+OP1_SQL = """
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+chunks as (
+  select doc_id, c, substring(h, 2000 * c + 1, 2198) as part from docs, generate_series(0, length(h) // 2000) t(c)
+),
+windows as (
+  select doc_id, 1000 * c + k as i, unhex(substring(part, 2 * k + 1, 200)) as w
+  from chunks, generate_series(0, least(999, length(part) // 2 - 100)) t(k)
+),
+repeated as (
+  select doc_id, i from (select doc_id, i, row_number() over (partition by w order by doc_id, i) as nth from windows) where nth > 1
+),
+spans as (
+  select doc_id, min(i) as a, max(i) + 100 as b from (
+    select doc_id, i, sum(fresh) over (partition by doc_id order by i) as span from (
+      select *, case when i <= lag(i) over (partition by doc_id order by i) + 100 then 0 else 1 end as fresh from repeated
+    )
+  ) group by doc_id, span
+),
+kept as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as x, a as y from spans
+  union all
+  select doc_id, coalesce(max(b), 0), any_value(length(h) // 2) from docs left join spans using (doc_id) group by doc_id
+),
+texts as (
+  select doc_id, unhex(string_agg(substring(h, 2 * x + 1, 2 * (y - x)), '' order by x)) as text
+  from kept join docs using (doc_id) group by doc_id
+)
+select d.doc_id, length(h) // 2 as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans,
+       sha256(t.text) as kept_sha256
+from docs d join texts t using (doc_id)
+left join (select doc_id, sum(b - a) as n, count(*) as spans from spans group by doc_id) s using (doc_id)"""
+
 OP2_SQL = r"""
 with doc_words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -410,6 +443,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_suffix_dedup": OP1_SQL,
         "op2_decontaminate": OP2_SQL,
         "op5_near_dedup": OP5_SQL,
         "op6_line_dedup": OP6_SQL,

@@ -196,7 +196,7 @@ def find_secrets(docs: DataFrame, ratios: list[float]) -> DataFrame:
 
     ``kind`` is a place in ``KINDS``. The base matches are always there; a random word is added where it overlaps
     none of them. A null or empty text has no spans. Rows do not depend on each other, so repeated rows get
-    the same spans and an empty table gives no rows.
+    the same spans and an empty table gives no rows. A long text is searched whole, within its row.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
 

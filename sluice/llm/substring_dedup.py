@@ -166,7 +166,8 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cro
 
     A word is removed when a run of ``window`` words covers it that also starts in a document with a smaller id (a
     null id is before all others). Runs do not cross documents and are judged on the input. A null text has no
-    words. Rows of one id do not count against each other.
+    words. Rows of one id do not count against each other. An empty table gives no rows. A long text is cut into
+    segments for the index, and held whole by the tasks that measure and cut it.
     """
     found = repeated_windows(docs, Grain(window, gram, True), _earlier_windows(window), False, crowded)
     lists = found.spans.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high")).alias("spans"))

@@ -152,7 +152,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crow
     A byte is removed when a string of ``window`` bytes covers it that also starts earlier: in a document with a smaller
     id (a null id is before all others), or in the same one. Strings do not cross documents and
     are judged on the input. What stays may not be valid UTF-8. A null text is empty. Of one id, rows are told
-    apart by their texts; rows equal in both are one document.
+    apart by their texts; rows equal in both are one document. An empty table gives no rows. A long text is cut into
+    segments for the index, and held whole by the tasks that measure and cut it.
     """
     found = repeated_windows(docs, Grain(window, gram, False), _earlier_windows(window), True, crowded)
     lists = found.spans.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high")).alias("spans"))

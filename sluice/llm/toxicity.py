@@ -263,7 +263,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for each row of ``docs``, from its ``text`` alone.
 
     Repeated rows are scored alike; a null or empty text has the lowest score; other columns are
-    not read. Without a model every score is 0.
+    not read. Without a model every score is 0. An empty table gives no rows. Hits are measured against the length of a text,
+    so long texts are scored like short ones.
     """
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -273,5 +274,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    Null and empty texts score lowest and stay; repeated rows stay or go together.
+    """
     return docs.where(scorer(model)(F.col("text").cast("string")) < threshold)
