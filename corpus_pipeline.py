@@ -1,6 +1,8 @@
 """From raw documents to packed training sequences, in five stages over whole tables.
 
-Every stage takes what its predecessor kept and, but for the last, gives rows with the columns of ``documents``.
+Every stage takes what its predecessor kept and, but for the last, gives rows with the columns of ``documents``. Null and empty texts
+pass through all stages, and rows without an id or with a repeated one are judged like any other unless a stage says
+otherwise. An empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -18,12 +20,18 @@ from sluice.llm.toxicity import drop_toxic, learn
 
 
 def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score 0.5 or more; the lexicon is learnt from the labels that are not held out."""
+    """Without the documents that score 0.5 or more; the lexicon is learnt from the labels that are not held out.
+
+    A null text stays; equal texts stay or go together.
+    """
     return drop_toxic(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long lines of five or more documents stay in the last of these only; all documents stay."""
+    """Long lines of five or more documents stay in the last of these only; all documents stay.
+
+    Rows of one id count as one document, and so do rows without an id; a null text stays null.
+    """
     found = line_dedup(docs)
     changed = F.col("n_dropped") > 0
     values = {name: F.col("row")[name] for name in docs.columns}
@@ -35,18 +43,27 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row, with the least id."""
+    """Of each group of near copies one row, with the least id (null before all others), among rows of that id by a hash of the text.
+
+    Of rows equal in both any one stays. Texts without words are no copies of each other and all stay.
+    """
     return drop_near_copies(docs, one_row=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents of which benchmark passages are a twentieth or more."""
+    """Without the documents of which benchmark passages are a twentieth or more.
+
+    A null text has no words and stays. Benchmark items without an id count as well; null ones have no words.
+    """
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True)
     return found.where(~F.col("contaminated")).select(*[F.col("row")[name].alias(name) for name in docs.columns])
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 ids."""
+    """The pieces of all documents in sequences of 2048 ids.
+
+    A null or empty text is its closing id alone; repeated rows are packed as often as they come.
+    """
     return pack(docs, tokenizer_path(), added_tokens=True)
 
 
