@@ -23,8 +23,9 @@ MIN_CUT = 64
 END_ID = 1
 #: Leftover windows that one task of the last merge takes.
 MERGE_WINDOWS = 4096
-SLICE_BYTES = 12 << 20
-CACHED_WORDS = 800_000
+#: Bytes that a task keeps of words and their ids, and what each such word takes besides.
+CACHED_BYTES = 48 << 20
+_ENTRY_BYTES = 160
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -95,7 +96,7 @@ class Encoder:
     a text, and what lies between them is encoded like texts of their own; without, they are spelled out.
     """
 
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS, added: bool = False):
+    def __init__(self, path: str, cached_bytes: int = CACHED_BYTES, added: bool = False):
         import tiktoken
 
         self._encode = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=_ranks(path), special_tokens={})
@@ -104,8 +105,9 @@ class Encoder:
         contents = sorted(self._added, key=len, reverse=True)
         self._markers = re.compile(b"|".join(map(re.escape, contents))) if contents else None
         self._classes = _character_classes()
-        self._cached_words = cached_words
+        self._cached_bytes = cached_bytes
         self._known: dict[bytes, bytes] = {}
+        self._known_bytes = 0
 
     def _starts(self, points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
         """Where words begin, as a mask over the characters of all texts."""
@@ -182,15 +184,21 @@ class Encoder:
 
     def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         known = self._known
-        new = [word for word in words if word not in known]
-        if len(known) + len(new) > self._cached_words:
-            known.clear()
-            new = words
         encode, added = self._encode._core_bpe.encode_single_piece, self._added
-        for word in new:
-            # words between added tokens never hold one
-            known[word] = array("I", [added[word]] if word in added else encode(word)).tobytes()
-        found = [known[word] for word in words]
+        found = []
+        for word in words:
+            ids = known.get(word)
+            if ids is None:
+                # words between added tokens never hold one
+                ids = array("I", [added[word]] if word in added else encode(word)).tobytes()
+                size = _ENTRY_BYTES + len(word) + len(ids)
+                if self._known_bytes + size > self._cached_bytes:
+                    known.clear()
+                    self._known_bytes = 0
+                if size <= self._cached_bytes:
+                    known[word] = ids
+                    self._known_bytes += size
+            found.append(ids)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return sizes, np.frombuffer(b"".join(found), "<u4")
 
@@ -258,7 +266,7 @@ def _pack_partition(path: str, window: int, open_windows: int, min_cut: int, add
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
         encoder, open_ = None, _Windows(window, open_windows, min_cut)
-        for batch in text_slices(batches, 1, SLICE_BYTES):
+        for batch in text_slices(batches, 1):
             encoder = encoder or Encoder(path, added=added_tokens)
             counts, ids = encoder.encode(*text_buffer(batch.column(1)))
             ends = np.cumsum(counts)
