@@ -21,12 +21,9 @@ THRESHOLD = 80
 #: so a key in common.
 SYMBOLS = 32
 CHUNKS = 8
-#: Symbols of the longer signature by which members of a bucket are compared, and how many may differ: at a similarity of
-#: 0.8 a fifth do, give or take a fortieth, and this is five times that deviation away.
-LONG_SYMBOLS = 256
-LONG_DISTANCE = 84
-#: Members of a bucket that are compared with as many others in one group.
+#: Members of a bucket that are compared with as many others in one group, and their shingles.
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
 #: Shingles that are brought together in one slice.
 SLICE_SHINGLES = 1 << 20
 
@@ -53,12 +50,12 @@ def shingle_sets(batch: pa.RecordBatch, text: int, words: int) -> tuple[np.ndarr
     return np.bincount(row[fresh], minlength=len(counts)), hashed[fresh]
 
 
-def _signatures(counts: np.ndarray, hashes: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
-    """A row of ``symbols`` 16-bit symbols for each set that is not empty."""
+def _signatures(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A row of ``SYMBOLS`` 16-bit symbols for each set that is not empty."""
     some = counts[counts > 0]
     starts = np.cumsum(some) - some
-    found = np.empty((len(some), symbols), np.uint16)
-    for k in range(symbols):
+    found = np.empty((len(some), SYMBOLS), np.uint16)
+    for k in range(SYMBOLS):
         salt = mix(np.array([k + 1], np.uint64))[0]
         least = np.minimum.reduceat((hashes ^ salt) * np.uint64(0xFF51AFD7ED558CCD), starts) if len(some) else hashes
         found[:, k] = (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -139,44 +136,41 @@ def _find_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             first = last
 
 
-def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From ``(node, shingles)``: each node's longer signature."""
-    for batch in batches:
-        lists = batch.column(1)
-        ends = lists.offsets.to_numpy()
-        hashes = lists.values.to_numpy().view(np.uint64)
-        first = 0
-        while first < batch.num_rows:
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_SHINGLES, side="right")) - 1)
-            found = _signatures(np.diff(ends[first : last + 1]), hashes[ends[first] : ends[last]], LONG_SYMBOLS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[first:last], pa.array([x.tobytes() for x in found], pa.binary())], names=["node", "signature"]
-            )
-            first = last
-
-
-def _pairs_of_blocks(threshold: int, most: int):
-    """Pairs of a group that may be similar: from different components, with long signatures at most ``most`` apart.
+def _links_of_blocks(threshold: int):
+    """Links between members of a group, by their whole sets: as many as it takes to connect what is linked.
 
-    A pair has no more shingles in common than either of them has in common with anyone.
+    Each member of one side looks up its shingles among those of the other side, which counts what it has in common
+    with each of them. Members that are connected already are not told apart any more.
     """
 
     def run(group: pa.Table) -> pa.Table:
-        node, n, common, root, side = (group.column(k).to_numpy() for k in ("node", "n", "common", "root", "side"))
-        raw = b"".join(group.column("signature").to_pylist())
-        signs = np.frombuffer(raw, np.uint16).reshape(-1, LONG_SYMBOLS)
-        right = np.flatnonzero(side >= 0)
+        node, n, root, side = (group.column(k).to_numpy() for k in ("node", "n", "root", "side"))
+        sets = group.column("shingles").combine_chunks()
+        ends, hashes = sets.offsets.to_numpy(), sets.values.to_numpy()
+        sizes = np.diff(ends)
+        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+        place = np.repeat(np.arange(len(right)), sizes[right])
+        values = hashes[np.repeat(ends[right], sizes[right]) + spans_of(sizes[right])]
+        order = np.argsort(values, kind="stable")
+        values, place = values[order], place[order]
+        part = np.unique(root, return_inverse=True)[1]
         a, b = [], []
-        for one in np.flatnonzero(side <= 0):
+        for one in left:
+            own = hashes[ends[one] : ends[one + 1]]
+            first = np.searchsorted(values, own, side="left")
+            count = np.searchsorted(values, own, side="right") - first
+            both = np.bincount(place[np.repeat(first, count) + spans_of(count)], minlength=len(right))
             # within one block each pair is seen from both sides
-            other = right[(root[right] != root[one]) & ((side[right] > 0) | (right > one))]
-            least = np.minimum(common[other], common[one])
-            other = other[(100 + threshold) * least >= threshold * (n[other] + n[one])]
-            other = other[(signs[other] != signs[one]).sum(axis=1) <= most]
-            a.append(np.minimum(node[one], node[other]))
-            b.append(np.maximum(node[one], node[other]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([*a, none]), "b": np.concatenate([*b, none])})
+            near = 100 * both >= threshold * (n[right] + n[one] - both)
+            near &= (side[right] > 0) | (right > one)
+            other = right[near]
+            other = other[part[other] != part[one]]
+            joined, at = np.unique(part[other], return_index=True)
+            for two in node[other[at]]:
+                a.append(min(node[one], two))
+                b.append(max(node[one], two))
+            part[np.isin(part, joined)] = part[one]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -201,8 +195,8 @@ def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD)
 
     Equal sets are one node from the start. Nodes with a common key are candidates; each is first
     checked against the node of its bucket that meets most others. Then, in buckets that still hold several
-    components, all members of different components whose signatures are close are checked, block
-    by block. How many shingles a node has in common with any other candidate bounds its
+    components, members of different components are compared by their whole sets, block by block, and
+    each block gives the links that connect its components, not all its pairs. How many shingles a node has in common with any other candidate bounds its
     similarity to each, so most members of a loose group need no check, and no link between components is lost.
     Documents without words are linked with nothing. Rows of one id are told apart by their texts.
     """
@@ -235,9 +229,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD)
     stars = written(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct())
     links = _confirmed(stars, sets, threshold)
     roots = written(components(links))
-    pairs = _pairs_between_components(members, roots, sets, threshold)
-    pairs = written(pairs.join(stars.hint("merge"), ["a", "b"], "left_anti"))
-    more = _confirmed(pairs, sets, threshold)
+    more = written(_links_between_components(members, roots, sets, threshold))
     if not more.isEmpty():
         known = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = components(known.unionByName(more))
@@ -271,8 +263,8 @@ def _sets_of(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame, words: int)
     return written(texts.mapInArrow(_sets(words), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
 
 
-def _pairs_between_components(members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs ``(a, b)`` of members of a bucket that are in different components and may be similar."""
+def _links_between_components(members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links ``(a, b)`` that connect the components of each bucket as far as its members are similar."""
     own = members.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("key").agg(F.min("n").alias("least"))
     # of all sizes in the bucket that of its common shingles suits a node best, or the least one above it
@@ -280,24 +272,21 @@ def _pairs_between_components(members: DataFrame, roots: DataFrame, sets: DataFr
     own = own.join(least.hint("merge"), "key").where(_may_link(best, threshold))
     own = written(own.select("key", "node", "n", "common", "root"))
     mixed = own.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")
     )
-    mixed = mixed.where("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    compared = written(own.join(mixed.hint("merge"), "key"))
-    wanted = sets.join(compared.select("node").distinct().hint("merge"), "node", "left_semi")
-    signatures = wanted.mapInArrow(_long_signatures, "node bigint, signature binary")
-    signed = compared.join(signatures.hint("merge"), "node")
-    spread = signed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed = mixed.where("low <> high").select("key", blocks.alias("blocks"))
+    compared = own.join(mixed.hint("merge"), "key").join(sets.hint("merge"), "node")
+    spread = compared.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     spread = spread.select("*", F.explode(other).alias("other")).select(
         "key",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
-        *["node", "n", "common", "root", "signature"],
+        *["node", "n", "root", "shingles"],
         F.signum(F.col("block") - F.col("other")).cast("int").alias("side"),
     )
-    groups = spread.groupBy("key", "i", "j")
-    return groups.applyInArrow(_pairs_of_blocks(threshold, LONG_DISTANCE), "a bigint, b bigint").distinct()
+    return spread.groupBy("key", "i", "j").applyInArrow(_links_of_blocks(threshold), "a bigint, b bigint").distinct()
 
 
 def _components_of_rows(measured: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
