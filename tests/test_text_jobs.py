@@ -151,3 +151,19 @@ def test_pack_model(table, result):
     assert [(p, [tuple(x) for x in s]) for p, s in result(packed)] == [
         ("a", [("b", 0.4), ("c", 0.4)]), ("z", [("y", None)]),
     ]
+
+
+def test_page_words_take_no_pattern_of_alternatives(spark):
+    """Such a pattern met every character; the words are those it gave, whatever the marks are next to each other."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from sluice.functions.text import page_words
+
+    odd = ["", None, "<", ">", "a<b>c", "a\\nb", "\\\\n", "\\<b>n", "<a\\nb>c<d", "x<<y>z\\", "a>b<c\\nd", "<b>\\n</b>Ab\\N é\nZ", "\\n<\\n>\\n"]
+    rows = spark.createDataFrame([(v,) for v in odd], "body string").select("body", page_words(F.col("body")).alias("words")).collect()
+    for body, words in rows:
+        spaced = None if body is None else re.sub(r"<[^>]*>|\\n|[^a-zA-Z]", " ", body)
+        assert words == (None if body is None else re.split(" +", spaced.strip(" ").lower()))
+    assert "|" not in str(page_words(F.col("body")))
