@@ -17,6 +17,7 @@ from sluice.operators.social import friend_list, login, photo_export, photo_look
 from sluice.operators.textstats import (
     document_frequency,
     ngrams,
+    ngrams_by_key,
     page_tokens,
     term_frequency,
     tfidf,
@@ -56,6 +57,7 @@ __all__ = [
     "login_response",
     "ngram_counts",
     "ngrams",
+    "ngrams_by_key",
     "pack_model",
     "page_tokens",
     "pagerank",

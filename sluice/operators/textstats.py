@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from sluice.functions.text import line_words, page_words
 from sluice.plans.layout import cut
-from sluice.plans.skew import lookup_join
+from sluice.plans.skew import SkewLimits, hot_keys, lookup_join
+from sluice.session import shuffle_partitions
 
 MAX_WORDS = 5
+#: Bytes of lines that one task counts by itself, and of one key's lines from which they are dealt out to several.
+BYTES_PER_TASK = 4 << 20
+KEY_LIMITS = SkewLimits(min_rows=16 << 20)
 
 
 def ngrams(lines: DataFrame, *keep: str, max_words: int = MAX_WORDS, line: str = "value") -> DataFrame:
@@ -35,6 +39,33 @@ def ngrams(lines: DataFrame, *keep: str, max_words: int = MAX_WORDS, line: str =
     return starts.select(*keep, F.explode(runs).alias("phrase")).where("phrase is not null")
 
 
+def ngrams_by_key(
+    lines: DataFrame, key: str, max_words: int = MAX_WORDS, line: str = "value", limits: SkewLimits = KEY_LIMITS
+) -> DataFrame:
+    """``(key, phrase, cnt)``: how often each run of 1 to ``max_words`` words is in the lines of a ``key``.
+
+    The lines of a key, which are many times smaller than their phrases, are brought together in one task and counted there, so
+    phrases are not shuffled. Only those of a key with more than ``limits`` of bytes are counted where they are and summed up.
+    """
+    count = F.count(F.lit(1)).alias("cnt")
+    size = F.coalesce(F.octet_length(line), F.lit(0)) + 1
+    weights = cut(lines.groupBy(key).agg(F.sum(size).cast("bigint").alias("weight")))
+    total = weights.agg(F.sum("weight").alias("total")).first()["total"] or 0
+    hot = cut(hot_keys(weights, key, "weight", limits))
+    partitions = max(shuffle_partitions(lines.sparkSession), -(-total // BYTES_PER_TASK))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return ngrams(rows, key, max_words=max_words, line=line).groupBy(key, "phrase").agg(count)
+
+    rows = lines.select(key, line)
+    if hot.isEmpty():
+        return counted(rows.repartition(partitions, key))
+    marked = rows.withColumn("hot", F.xxhash64(key))
+    usual = marked.join(F.broadcast(hot), "hot", "left_anti").select(key, line)
+    large = marked.join(F.broadcast(hot), "hot", "left_semi").select(key, line)
+    return counted(usual.repartition(partitions, key)).unionByName(counted(large))
+
+
 def _with_spaces(words: list[Column]) -> list[Column]:
     spaced = [words[0]]
     for word in words[1:]:

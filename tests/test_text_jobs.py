@@ -167,3 +167,25 @@ def test_page_words_take_no_pattern_of_alternatives(spark):
         spaced = None if body is None else re.sub(r"<[^>]*>|\\n|[^a-zA-Z]", " ", body)
         assert words == (None if body is None else re.split(" +", spaced.strip(" ").lower()))
     assert "|" not in str(page_words(F.col("body")))
+
+
+def test_phrases_by_key_are_counted_without_a_shuffle_of_phrases(spark):
+    from collections import Counter
+
+    from sluice.plans.skew import SkewLimits
+
+    values = [(k % 7 or None, f"a b {'c ' * (k % 3)}w{chr(97 + k % 26)}") for k in range(100)] + [(3, None), (9, "")]
+    values += [(8, "long line of one key " * 40)] * 3
+    lines = spark.createDataFrame(values, "key int, value string").repartition(3)
+    found = sluice.ngrams_by_key(lines, "key")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(key#" in plan and "phrase#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+    expected = Counter()
+    for key, line in values:
+        words = (line or "").split()
+        for start in range(len(words)):
+            expected.update((key, " ".join(words[start:end])) for end in range(start + 1, min(start + 5, len(words)) + 1))
+    some_hot = sluice.ngrams_by_key(lines, "key", limits=SkewLimits(max_hot=100, min_rows=1000))
+    for counts in (found, some_hot):
+        rows = [((row["key"], row["phrase"]), row["cnt"]) for row in counts.collect()]
+        assert len(rows) == len(expected) and dict(rows) == expected
