@@ -116,3 +116,32 @@ def test_late_operations_are_left_out(spark, table, tmp_path, result):
     # the watermark has reached 20 seconds: a put and a get before it, and a get after it
     assert run((3, at(5), "k", "put", "late", 1), (4, at(6), "k", "get", None, 1), (5, at(30), "k", "get", None, 1)) == 2
     assert result(sluice.read_answers(spark, out), "op_id", "value") == [(2, "a"), (5, "a")]
+
+
+def test_waiting_operations_share_rows_of_the_state():
+    import datetime
+    import pickle
+    from types import SimpleNamespace
+
+    from sluice.streaming import asof
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        def appendList(self, rows):
+            self.rows += rows
+
+        def get(self):
+            return iter(self.rows)
+
+    state, timers = State(), []
+    handle = SimpleNamespace(
+        getListState=lambda name, schema: state, getValueState=lambda name, schema: None, registerTimer=timers.append
+    )
+    reads = asof._Reads(None)
+    reads.init(handle)
+    ts = datetime.datetime(2024, 1, 1)
+    assert list(reads.handleInputRows((1,), iter([(k, 1, ts, 5000 + k, k % 2 == 0, None, 1) for k in range(5000)]), None)) == []
+    assert len(state.rows) == 2 and timers == [5]
+    assert [op[0] for (ops,) in state.rows for op in pickle.loads(ops)] == list(range(5000))
