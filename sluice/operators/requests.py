@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.forms import BAD_REQUEST
 from sluice.operators.responses import friends_response, login_response, photo_response, timeline_response
 from sluice.operators.social import friend_list, login, photo_lookup, timeline
+from sluice.plans.layout import cut
 
 # fixed values: the sixth character of a path names what is asked for
 LOGIN, FRIENDS, PHOTO, TIMELINE = "1", "2", "3", "4"
@@ -62,7 +63,8 @@ def answer_requests(requests: DataFrame, users: DataFrame, cells: DataFrame, pho
     An id is compared as text with the ids of the tables. A request that lacks a parameter, or has it more than once,
     is a bad request for the routes that want it; these are answered by themselves and take no part in joins.
     """
-    asked = requests.where("request is not null").distinct()
+    # read seven times below
+    asked = cut(requests.where("request is not null").distinct())
     users, cells, photos = _as_text(users), _as_text(cells), _as_text(photos)
     wants_password = F.col("route").isin(LOGIN, TIMELINE)
     known = F.col("route").isin(LOGIN, FRIENDS, PHOTO, TIMELINE)

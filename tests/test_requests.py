@@ -89,3 +89,13 @@ def test_bad_requests(table, site):
 def test_a_request_is_answered_once(table, site):
     requests = sluice.parse_requests(table("value string", ("/step3?id=2",), ("/step3?id=2",), (None,)))
     assert sluice.answer_requests(requests, *site).count() == 1
+
+
+def test_requests_are_parsed_once(spark):
+    lines = spark.createDataFrame([(f"/step{k}?id=1&pwd=a",) for k in range(1, 6)], "value string")
+    users = spark.createDataFrame([(1, "a", "A")], "userid long, password string, name string")
+    cells = spark.createDataFrame([(1, "1,2")], "userid long, cell string")
+    photos = spark.createDataFrame([(1, "t", "u")], "userid long, time string, url string")
+    answers = sluice.answer_requests(sluice.parse_requests(lines), users, cells, photos)
+    assert "decode" not in answers._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert answers.count() == 5
