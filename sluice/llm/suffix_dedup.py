@@ -19,69 +19,114 @@ GRAM = 32
 def sorted_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(string, length, common)`` of all suffixes in sorted order, with the length of each one's common prefix with the one before.
 
-    Built column by column from the right: round ``j`` puts the suffix of length ``j`` of every string
-    into place at once. ``before`` holds the symbol in front of each suffix, which is the strings'
-    Burrows-Wheeler transform so far; sorting it by symbol gives the place of the suffix that is one longer.
-    The common prefix of two such neighbours is one more than the least one between the suffixes they
-    extend. Every round reads the arrays from front to back and writes them anew. An end of a string
-    is less than every symbol and equal to no other end. The symbol 0 must not occur.
+    Built column by column from the right: round ``j`` finds how many suffixes of the rounds before lie before the suffix of length ``j`` of
+    every string. ``shorter`` leads from each suffix to the place of the one without its first symbol, which is the strings'
+    Burrows-Wheeler transform so far, read backwards. Among suffixes with one first symbol it ascends, so that number
+    is found by halving. ``shorter`` is written anew after every eighth round: what came in eight rounds is put in order by eight symbols, and
+    by the place of what follows them. Whose suffix lies where is read from the whole transform in the end, and common prefixes
+    are those of neighbours in the strings, eight symbols at a time. An end of a string is less than every symbol
+    and equal to no other end. The symbol 0 must not occur.
     """
     count = len(strings)
     sizes = np.fromiter(map(len, strings), np.int64, count)
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    ends = np.cumsum(sizes)
-    before = np.where(sizes > 0, data[np.maximum(ends - 1, 0)] if len(data) else 0, 0).astype(np.uint8)
-    common = np.zeros(count, np.uint16)
-    owner = np.arange(count, dtype=np.int32)
-    length = np.zeros(count, np.uint16)
-    place = np.arange(count)  # of each active string's longest suffix so far
-    active = np.flatnonzero(sizes > 0)
-    place = place[active]
-    for size in range(1, int(sizes.max(initial=0)) + 1):
-        order = np.argsort(before, kind="stable")
-        order = order[int(np.count_nonzero(before == 0)) :]
-        rank = np.empty(len(before), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        target = rank[place]
-        by_place = np.argsort(target)
-        active, target = active[by_place], target[by_place]
-        shared = _least_between(common, before, order, target)
-        shared_next = _least_between(common, before, order, target + 1)
-        at = target.astype(np.int64) + count
-        left = sizes[active] > size
-        symbol = np.where(left, data[np.maximum(ends[active] - size - 1, 0)], 0).astype(np.uint8)
-        old = np.ones(len(before) + len(at), bool)
+    data = np.frombuffer(b"".join(x for string in strings for x in (string, bytes(ROUNDS))), np.uint8)
+    ends = np.cumsum(sizes + ROUNDS) - ROUNDS
+    total = int(sizes.sum())
+    # written over each time: new memory for each array costs more than what is written to it
+    held, room, moved = np.empty(total, np.int64), np.empty(total, np.int64), np.arange(count + total)
+    marks = np.empty(total, bool)
+    shorter = held[:0]  # of the suffixes after the ``count`` empty ones
+    begins = np.zeros(257, np.int64)  # how many of them begin with a smaller symbol
+    places = np.repeat(np.arange(count), ROUNDS).reshape(count, ROUNDS)  # of each string's last eight suffixes
+    for done in range(0, int(sizes.max(initial=0)), ROUNDS):
+        active = np.flatnonzero(sizes > done)
+        place, found = places[active, done - 1 & ROUNDS - 1], []
+        for size in range(done + 1, done + ROUNDS + 1):
+            more = sizes[active] >= size
+            active, place = active[more], place[more]
+            place = count + _before(shorter, begins, data[ends[active] - size], place)
+            found.append((active, np.full(len(active), size - done - 1), place - count))
+        string, step, before = (np.concatenate(x) for x in zip(*found))
+        start = ends[string] - step - done - 1
+        order = np.lexsort((places[string, step], _eights(data, ">u8")[start].astype(np.uint64)))
+        at = np.empty(len(order), np.int64)
+        at[order] = before[order] + np.arange(len(order))
+        was, now = len(shorter), len(shorter) + len(at)
+        # where each suffix goes to: one on for each new one up to it
+        moves = moved[count : count + was]
+        moves.fill(1)
+        np.add.at(moves, before[before < was], 1)
+        moves[:1] += count - 1
+        np.cumsum(moves, out=moves)
+        np.take(moved, shorter, out=room[:was], mode="clip")
+        tail = moved[places[string, step - 1]]
+        places[string, step] = at + count
+        later = step > 0
+        tail[later] = places[string[later], step[later] - 1]
+        old = marks[:now]
+        old.fill(True)
         old[at] = False
-        before = _spread(before, old, at, symbol)
-        owner = _spread(owner, old, at, active.astype(np.int32))
-        length = _spread(length, old, at, np.full(len(at), size, np.uint16))
-        common = _spread(common, old, at, shared)
-        inside = at + 1 < len(common)
-        common[at[inside] + 1] = shared_next[inside]
-        active, place = active[left], at[left]
-    return owner, length, common
-
-
-def _spread(values: np.ndarray, old: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
-    out = np.empty(len(old), values.dtype)
-    out[old] = values
-    out[at] = new
-    return out
-
-
-def _least_between(common: np.ndarray, symbols: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """For extended suffixes ``rank`` and ``rank - 1``: their common prefix, 0 if they begin differently."""
-    found = np.zeros(len(rank), np.uint16)
-    inside = (rank > 0) & (rank < len(order))
-    upper, lower = order[rank[inside]], order[rank[inside] - 1]
-    same = symbols[upper] == symbols[lower]
-    bounds = np.empty(2 * int(same.sum()), np.int64)
-    bounds[0::2], bounds[1::2] = lower[same] + 1, upper[same] + 1
-    part = np.zeros(len(upper), np.uint16)
-    if len(bounds):
-        padded = np.append(common, np.uint16(0))
-        part[same] = np.minimum.reduceat(padded, bounds)[0::2] + 1
-    found[inside] = part
+        shorter = held[:now]
+        shorter[old] = room[:was]
+        shorter[at] = tail
+        begins[1:] += np.cumsum(np.bincount(data[start], minlength=256))
+    owner, length = _owners(shorter, count)
+    return owner, length, _common(data, ends[owner] - length, length)
+
+
+#: Rounds after which the transform is written anew, as many as there are symbols in a number.
+ROUNDS = 8
+#: Neighbours that are compared together.
+_COMPARED = 1 << 15
+
+
+def _eights(data: np.ndarray, kind: str) -> np.ndarray:
+    """The eight symbols from each place on as a number."""
+    return np.ndarray((len(data) - 7,), kind, data, strides=(1,)) if len(data) else np.zeros(0, kind)
+
+
+def _before(shorter: np.ndarray, begins: np.ndarray, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """How many suffixes lie before ``symbol`` with the suffix at ``place`` after it."""
+    order = np.argsort(symbol, kind="stable")
+    groups = np.append(0, np.cumsum(np.bincount(symbol, minlength=256)))
+    place, found = place[order], np.empty(len(order), np.int64)
+    for first in np.flatnonzero(np.diff(groups)):
+        some = slice(groups[first], groups[first + 1])
+        low, high = begins[first], begins[first + 1]
+        found[order[some]] = low + np.searchsorted(shorter[low:high], place[some])
+    return found
+
+
+def _owners(shorter: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(string, length)`` of all suffixes: from each string's end to its longer and longer suffixes."""
+    longer = np.full(count + len(shorter), -1)
+    longer[shorter] = np.arange(count, count + len(shorter))
+    owner, length = np.empty(len(longer), np.int32), np.empty(len(longer), np.uint16)
+    string, place, size = np.arange(count), np.arange(count), 0
+    while len(place):
+        owner[place], length[place] = string, size
+        on = longer[place]
+        string, place, size = string[on >= 0], on[on >= 0], size + 1
+    return owner, length
+
+
+def _common(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """How many symbols each suffix shares with the one before; ``data`` goes on for eight symbols after the last one."""
+    eights = _eights(data, "<u8")
+    found = np.zeros(len(start), np.uint16)
+    for low in range(1, len(start), _COMPARED):
+        part = slice(low, low + _COMPARED)
+        before, after = start[low - 1 : low - 1 + _COMPARED][: len(start[part])], start[part]
+        most = np.minimum(length[part], length[low - 1 : low - 1 + _COMPARED][: len(after)]).astype(np.int64)
+        shared, open_, size = np.zeros(len(after), np.int64), np.flatnonzero(most), 0
+        while len(open_):
+            differ = eights[before[open_] + size] ^ eights[after[open_] + size]
+            # the lowest bit that differs lies in the first symbol that does
+            same = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.int64) >> 3
+            shared[open_] = np.minimum(size + same, most[open_])
+            size += 8
+            open_ = open_[(differ == 0) & (most[open_] > size)]
+        found[part] = shared
     return found
 
 
