@@ -77,6 +77,28 @@ def test_model_after_batches_is_the_model_over_all(spark, result, tmp_path):
         assert result(kept.model()) == result(sluice.language_model(sluice.ngram_counts(lines(seen)), 3, 2))
 
 
+@pytest.mark.parametrize("most_words", [0, 4, 7])
+def test_kept_words_without_a_number(spark, result, tmp_path, most_words):
+    def lines(values):
+        return spark.createDataFrame([(v,) for v in values], "value string")
+
+    seen = []
+    for batch in [["later w0 of"], *batches(5)[:3], ["the a later of", "x" * 70 + " the"] * 3]:
+        seen += batch
+        kept = sluice.KeptModel(spark, str(tmp_path / "kept"), k=3, threshold=2, fan=2, buckets=3, most_words=most_words)
+        kept.add(lines(batch))
+        assert result(kept.model()) == result(sluice.language_model(sluice.ngram_counts(lines(seen)), 3, 2))
+
+
+def test_a_run_has_few_rows_for_each_word(spark, tmp_path):
+    random.seed(7)
+    values = [" ".join("".join(random.choices("abcdefgh", k=4)) for _ in range(20)) for _ in range(100)]
+    kept = sluice.KeptModel(spark, str(tmp_path / "kept"))
+    kept.add(spark.createDataFrame([(v,) for v in values], "value string"))
+    runs = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "kept" / "runs"))
+    assert runs.count() <= 3 * 2000
+
+
 def test_only_touched_prefixes_are_ranked(spark, result, tmp_path):
     kept = sluice.KeptModel(spark, str(tmp_path / "kept"))
     kept.add(spark.createDataFrame([("a b c",)] * 3 + [("x y",)] * 3, "value string"))
