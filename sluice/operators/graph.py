@@ -2,13 +2,17 @@
 
 The arcs are laid out once, hashed and sorted on the join key, and stay where they are; each
 step moves only the state. The arcs of a hot node are split over slots, and its state row is
-repeated for each of them. Every step ends in a checkpoint in the shared folder.
+repeated for each of them. Every step ends in a checkpoint in the shared folder. PageRank numbers the
+nodes first and packs arcs and state by blocks of nodes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +52,157 @@ class _SlottedArcs:
         self.arcs.unpersist()
 
 
+def _numbers(data: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(data.as_buffer(), kind)
+
+
+def _rows(schema: str, *columns: list) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    names = [field.split(" ") for field in schema.split(", ")]
+    return pa.table({name: pa.array(column, kinds[kind]) for (name, kind), column in zip(names, columns, strict=True)})
+
+
+#: Arcs that leave a block of nodes, about, and least number of blocks.
+ARCS_PER_BLOCK = 1_000_000
+LEAST_BLOCKS = 32
+_TILE = "block bigint, other bigint, sources binary, targets binary, firsts binary"
+_STATE = "block bigint, fan bigint, degree binary, rank binary, residual binary, going bigint, arcs bigint, mass double"
+_MESSAGE = "block bigint, targets binary, shares binary"
+
+
+class _Blocks:
+    """Arcs as tiles between blocks of numbered nodes, so that a step moves a packed row for each tile and not one for each arc.
+
+    A node's block is a hash of its id, its place there the order of the ids. A tile holds the arcs from one block to another, by target; the tiles
+    lie where their sources' block is sent to. Blocks with too many arcs are split over slots.
+    """
+
+    def __init__(self, arcs: DataFrame, nodes: DataFrame, limits: SkewLimits):
+        links = _distinct_arcs(arcs)
+        known = cut(_known(nodes, links))
+        total = known.agg(F.coalesce(F.sum("degree"), F.lit(0)).alias("total")).first()["total"]
+        blocks = max(LEAST_BLOCKS, -(-total // ARCS_PER_BLOCK))
+        slot_rows = int(10 * limits.slot_rows(total))
+        placed = known.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+        order = Window.partitionBy("block").orderBy("id")
+        self.ids = cut(placed.withColumn("place", F.row_number().over(order) - 1))
+        self.start = cut(self.ids.select("block", "place", "degree", "start").groupBy("block").applyInArrow(_first_state(slot_rows), _STATE))
+        source = self.ids.select(F.col("id").alias("src"), F.col("block"), F.col("place").alias("source"))
+        target = self.ids.select(F.col("id").alias("dst"), F.col("block").alias("other"), F.col("place").alias("target"))
+        placed = lookup_join(lookup_join(links, source, "src"), target, "dst")
+        placed = placed.select((F.col("block") * blocks + F.col("other")).alias("tile"), "source", "target")
+        tiles = placed.groupBy("tile").applyInArrow(_tiles(blocks, slot_rows), _TILE)
+        tiles = tiles.join(F.broadcast(self.start.select("block", "fan")), "block").withColumn("slot", slot_of(F.col("fan"), ["other"]))
+        self._tiles = keep_sorted(tiles.drop("fan"), ["block", "slot"], total)
+
+    def step(self, state: DataFrame, spread, gather) -> DataFrame:
+        """The next state: ``spread`` makes a block's row into what each node sends along each of its arcs, ``gather`` takes what comes."""
+        sending = state.withColumn("slot", every_slot(F.col("fan").cast("int"))).groupBy("block", "slot")
+        messages = sending.cogroup(self._tiles.groupBy("block", "slot")).applyInArrow(_messages(spread), _MESSAGE)
+        return cut(state.groupBy("block").cogroup(messages.groupBy("block")).applyInArrow(_received(gather), _STATE))
+
+    def ranks(self, state: DataFrame) -> DataFrame:
+        """``(id, degree, rank)`` of all nodes that have a rank."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    rank = _numbers(data, np.float64)
+                    place = np.flatnonzero(~np.isnan(rank))
+                    columns = [np.full(len(place), block), place.astype(np.int32), rank[place]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["block", "place", "rank"])
+
+        rows = state.select("block", "rank").mapInArrow(run, "block bigint, place int, rank double")
+        return self.ids.join(rows.hint("merge"), ["block", "place"]).select("id", "degree", "rank")
+
+    def release(self) -> None:
+        self._tiles.unpersist()
+
+
+def _state(block: int, fan: int, degree: np.ndarray, rank: np.ndarray, residual: np.ndarray, bound: float) -> pa.Table:
+    """A row of ``_STATE``: ``going`` nodes have a residual above ``bound``, with ``arcs`` in all; ``mass`` is the rank of nodes without any."""
+    going = residual > bound
+    mass = float(np.nansum(rank[degree == 0]))
+    columns = [block, fan, degree.tobytes(), rank.tobytes(), residual.tobytes(), int(going.sum()), int(degree[going].sum()), mass]
+    return _rows(_STATE, *([x] for x in columns))
+
+
+def _first_state(slot_rows: int):
+    """Nodes that ``start`` have rank 1, others none; nothing waits."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        place = rows["place"].to_numpy()
+        degree, rank = np.zeros(len(place), np.int64), np.full(len(place), np.nan)
+        degree[place] = rows["degree"].fill_null(0).to_numpy()
+        rank[place[rows["start"].to_numpy()]] = 1.0
+        fan = max(1, -(-int(degree.sum()) // slot_rows))
+        return _state(rows["block"][0].as_py(), fan, degree, rank, np.zeros(len(place)), 0.0)
+
+    return run
+
+
+def _tiles(blocks: int, most: int):
+    """The arcs from one block to another as rows of at most ``most``, sorted by target: sources, each target once, and where it begins."""
+
+    def run(arcs: pa.Table) -> pa.Table:
+        source, target = (arcs[name].to_numpy().astype(np.uint32) for name in ("source", "target"))
+        order = np.argsort(target, kind="stable")
+        parts = [order[at : at + most] for at in range(0, len(order), most)]
+        found = [(source[part], *np.unique(target[part], return_index=True)) for part in parts]
+        packed = [[x.astype(np.uint32).tobytes() for x in column] for column in zip(*found)]
+        keys = [[key] * len(parts) for key in divmod(arcs["tile"][0].as_py(), blocks)]
+        return _rows(_TILE, *keys, *packed)
+
+    return run
+
+
+def _messages(spread):
+    """For each tile its targets and the sums of what their sources send; a source that is not a number sends nothing."""
+
+    def run(state: pa.Table, tiles: pa.Table) -> pa.Table:
+        out = []
+        share = spread(state) if len(tiles) and len(state) else None
+        if share is not None and not np.isnan(share).all():
+            for other, *packed in zip(tiles["other"].to_pylist(), tiles["sources"], tiles["targets"], tiles["firsts"]):
+                source, target, first = (_numbers(x, np.uint32) for x in packed)
+                sent = share[source]
+                here = ~np.isnan(sent)
+                some = np.logical_or.reduceat(here, first)
+                sums = np.add.reduceat(np.where(here, sent, 0.0), first)
+                if some.any():
+                    out.append((other, target[some].tobytes(), sums[some].tobytes()))
+        return _rows(_MESSAGE, *(zip(*out) if out else ([], [], [])))
+
+    return run
+
+
+def _received(gather):
+    """A block's next row: ``gather`` gets its row, the sum of what each node got, and which nodes got something."""
+
+    def run(state: pa.Table, messages: pa.Table) -> pa.Table:
+        size = len(_numbers(state["degree"][0], np.int64))
+        target = np.frombuffer(b"".join(messages["targets"].to_pylist()), np.uint32).astype(np.int64)
+        share = np.frombuffer(b"".join(messages["shares"].to_pylist()), np.float64)
+        got = np.bincount(target, share, size)
+        return gather(state, got, np.bincount(target, minlength=size) > 0)
+
+    return run
+
+
+def _known(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id, degree, start)`` of all nodes; ``degree`` is null without out-arcs, ``start`` false for nodes only arcs lead to."""
+    none = F.lit(None).cast("bigint")
+    rows = nodes.select("id", none.alias("degree"), F.lit(True).alias("start"))
+    rows = rows.unionByName(links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")).withColumn("start", F.lit(True)))
+    rows = rows.unionByName(links.select(F.col("dst").alias("id")).distinct().select("id", none.alias("degree"), F.lit(False).alias("start")))
+    return rows.groupBy("id").agg(F.max("degree").alias("degree"), F.max("start").alias("start"))
+
+
+def _columns(state: pa.Table) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    vectors = (("degree", np.int64), ("rank", np.float64), ("residual", np.float64))
+    return state["block"][0].as_py(), state["fan"][0].as_py(), *(_numbers(state[name][0], kind) for name, kind in vectors)
+
+
 def pagerank(
     arcs: DataFrame,
     nodes: DataFrame,
@@ -64,6 +219,34 @@ def pagerank(
     """
     if mode not in ("reference", "standard"):
         raise ValueError(f"mode must be 'reference' or 'standard', not {mode!r}")
+    count = _count_once(nodes)
+    blocks = _Blocks(arcs, nodes, limits)
+    teleport = float(1 - Decimal(str(damping)))
+    state = blocks.start
+
+    def spread(row: pa.Table) -> np.ndarray:
+        _, _, degree, rank, _ = _columns(row)
+        return np.divide(rank, degree, out=np.full(len(rank), np.nan), where=degree > 0)
+
+    def gather_with(even: float):
+        def gather(row: pa.Table, got: np.ndarray, some: np.ndarray) -> pa.Table:
+            block, fan, degree, rank, residual = _columns(row)
+            stays = some if mode == "reference" else some | ~np.isnan(rank)
+            return _state(block, fan, degree, np.where(stays, teleport + (got + even) * damping, np.nan), residual, 0.0)
+
+        return gather
+
+    try:
+        for _ in range(iterations):
+            dangling = state.agg(F.coalesce(F.sum("mass"), F.lit(0.0)).alias("mass")).first()["mass"]
+            state = blocks.step(state, spread, gather_with(dangling / count if count else 0.0))
+    finally:
+        blocks.release()
+    return blocks.ranks(state).select("id", "rank")
+
+
+def _count_once(nodes: DataFrame) -> int:
+    """How many nodes there are; none may come twice."""
     sizes = (
         nodes.groupBy("id")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -72,54 +255,7 @@ def pagerank(
     )
     if (sizes["most"] or 0) > 1:
         raise ValueError("nodes must hold each id once")
-
-    links = _distinct_arcs(arcs)
-    total = links.count()
-    out_degrees = cut(links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
-    # each arc carries the out-degree of its target (null if it has none), so that the state of the
-    # next step knows it without a join
-    targets = lookup_join(
-        links,
-        out_degrees.select(F.col("id").alias("dst"), F.col("degree").alias("dst_degree")),
-        "dst",
-        how="left",
-    )
-    layout = _SlottedArcs(targets, "src", "dst", out_degrees, total, limits)
-    start = cut(
-        nodes.select("id", F.lit(None).cast("bigint").alias("degree"))
-        .unionByName(out_degrees.select("id", "degree"))
-        .groupBy("id")
-        .agg(F.max("degree").alias("degree"))
-    )
-    teleport = float(1 - Decimal(str(damping)))
-    state = start.select("id", "degree", F.lit(1.0).alias("rank"))
-    try:
-        for _ in range(iterations):
-            dangling = (
-                state.where("degree is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass")).scalar()
-            )
-            shares = state.where("degree is not null").select(
-                F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("share")
-            )
-            received = layout.join(shares).select(
-                F.col("dst").alias("id"), F.col("dst_degree").alias("degree"), "share"
-            )
-            if mode == "standard":
-                received = received.unionByName(start.withColumn("share", F.lit(0.0)))
-            state = cut(
-                received.groupBy("id")
-                .agg(F.max("degree").alias("degree"), F.sum("share").alias("share"))
-                .select(
-                    "id",
-                    "degree",
-                    (F.lit(teleport) + (F.col("share") + dangling / F.lit(float(sizes["n"]))) * damping).alias(
-                        "rank"
-                    ),
-                )
-            )
-    finally:
-        layout.release()
-    return state.select("id", "rank")
+    return sizes["n"]
 
 
 def pagerank_top(ranks: DataFrame, nodes: DataFrame, k: int = 100) -> DataFrame:
@@ -148,50 +284,41 @@ def pagerank_within(
     out-arcs, which all nodes share, makes all ranks larger by one factor, known at the end. ``sent`` gets the number of rows sent in
     each step.
     """
-    count = nodes.select("id").count()
-    if nodes.select("id").distinct().count() < count:
-        raise ValueError("nodes must hold each id once")
-    links = _distinct_arcs(arcs)
-    out_degrees = cut(links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
-    layout = _SlottedArcs(links, "src", "dst", out_degrees, links.count(), limits)
+    count = _count_once(nodes)
+    blocks = _Blocks(arcs, nodes, limits)
     teleport = float(1 - Decimal(str(damping)))
     bound = tolerance * teleport * teleport
-    everyone = nodes.select("id").union(links.select("src")).union(links.select("dst")).distinct()
-    state = cut(
-        everyone.join(out_degrees, "id", "left").select(
-            "id", "degree", F.lit(0.0).alias("rank"), F.lit(teleport).alias("residual")
-        )
-    )
-    sends = F.col("residual") > bound
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, fan, degree, rank, _ = _columns(pa.Table.from_batches([batch.slice(row, 1)]))
+                state = _state(block, fan, degree, np.zeros(len(rank)), np.full(len(rank), teleport), bound)
+                yield from state.to_batches()
+
+    def spread(row: pa.Table) -> np.ndarray:
+        _, _, degree, _, residual = _columns(row)
+        return np.divide(residual * damping, degree, out=np.full(len(residual), np.nan), where=(degree > 0) & (residual > bound))
+
+    def gather(row: pa.Table, got: np.ndarray, some: np.ndarray) -> pa.Table:
+        block, fan, degree, rank, residual = _columns(row)
+        sends = residual > bound
+        return _state(block, fan, degree, rank + np.where(sends, residual, 0.0), np.where(sends, 0.0, residual) + got, bound)
+
+    state = blocks.start.mapInArrow(begin, _STATE)
     try:
         while True:
-            going = state.where(sends).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("degree"), F.lit(0)).alias("rows")).first()
+            going = state.agg(F.sum("going").alias("n"), F.sum("arcs").alias("rows")).first()
             if not going["n"]:
                 break
             if sent is not None:
                 sent.append(going["rows"])
-            shares = state.where(sends & F.col("degree").isNotNull()).select(
-                F.col("id").alias("src"), (F.col("residual") * damping / F.col("degree")).alias("share")
-            )
-            kept = state.select(
-                "id",
-                "degree",
-                (F.col("rank") + F.when(sends, F.col("residual")).otherwise(0.0)).alias("rank"),
-                F.when(sends, F.lit(0.0)).otherwise(F.col("residual")).alias("residual"),
-            )
-            received = layout.join(shares).select(
-                F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("degree"), F.lit(0.0).alias("rank"), F.col("share").alias("residual")
-            )
-            state = cut(
-                kept.unionByName(received)
-                .groupBy("id")
-                .agg(F.max("degree").alias("degree"), F.sum("rank").alias("rank"), F.sum("residual").alias("residual"))
-            )
+            state = blocks.step(state, spread, gather)
     finally:
-        layout.release()
-    dangling = state.where("degree is null").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("mass")).scalar()
-    factor = 1 / (1 - dangling * damping / (teleport * F.lit(float(max(count, 1)))))
-    return state.select("id", (F.col("rank") * factor).alias("rank"))
+        blocks.release()
+    dangling = state.agg(F.coalesce(F.sum("mass"), F.lit(0.0)).alias("mass")).first()["mass"]
+    factor = 1 / (1 - dangling * damping / (teleport * max(count, 1)))
+    return blocks.ranks(state).select("id", (F.col("rank") * factor).alias("rank"))
 
 
 def shortest_paths_to(

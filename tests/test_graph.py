@@ -180,3 +180,33 @@ def test_ranks_with_nodes_that_pass_nothing_on(table, result):
     assert result(sluice.pagerank_within(arcs.limit(0), nodes.limit(0))) == []
     with pytest.raises(ValueError, match="once"):
         sluice.pagerank_within(arcs, nodes.union(nodes))
+
+
+def test_a_step_moves_packed_rows(spark, table, result):
+    from sluice.operators import graph
+
+    random.seed(7)
+    rows = {(random.randrange(400), random.randrange(400)) for _ in range(6000)} | {(0, k) for k in range(400)} | {(k, 1) for k in range(400)}
+    arcs, nodes = table("src bigint, dst bigint", *rows), table("id bigint, title string", *[(k, "") for k in range(0, 450)])
+    # ten arcs for a slot at most, so that blocks are split
+    limits = SkewLimits(max_hot=100_000, min_rows=1)
+    for some in (limits, SkewLimits()):
+        blocks = graph._Blocks(arcs, nodes, some)
+        try:
+            sizes = [len(row["sources"]) // 4 for row in blocks._tiles.select("sources").collect()]
+            tiles = blocks._tiles.select("block", "other").distinct().count()
+            assert sum(sizes) == len(rows) and max(sizes) <= 10 * some.slot_rows(len(rows)) and tiles <= graph.LEAST_BLOCKS**2 < len(rows) / 5
+            assert (blocks.start.agg({"fan": "max"}).first()[0] > 1) == (some is limits)
+        finally:
+            blocks.release()
+    rank, degree = {k: 1.0 for k in range(450)}, {}
+    for src, _ in rows:
+        degree[src] = degree.get(src, 0) + 1
+    for _ in range(2):
+        mass = sum(x for k, x in rank.items() if k not in degree)
+        got = {}
+        for src, dst in rows:
+            if src in rank:
+                got[dst] = got.get(dst, 0.0) + rank[src] / degree[src]
+        rank = {k: 0.15 + 0.85 * (x + mass / 450) for k, x in got.items()}
+    assert dict(result(sluice.pagerank(arcs, nodes, 2, limits=limits))) == pytest.approx(rank)
