@@ -13,6 +13,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,7 +100,9 @@ class _Blocks:
         """The next state: ``spread`` makes a block's row into what each node sends along each of its arcs, ``gather`` takes what comes."""
         sending = state.withColumn("slot", every_slot(F.col("fan").cast("int"))).groupBy("block", "slot")
         messages = sending.cogroup(self._tiles.groupBy("block", "slot")).applyInArrow(_messages(spread), _MESSAGE)
-        return cut(state.groupBy("block").cogroup(messages.groupBy("block")).applyInArrow(_received(gather), _STATE))
+        # a cogroup of both would square the size that the planner expects, with each step again
+        both = state.unionByName(messages, allowMissingColumns=True)
+        return cut(both.groupBy("block").applyInArrow(_received(gather), _STATE))
 
     def ranks(self, state: DataFrame) -> DataFrame:
         """``(id, degree, rank)`` of all nodes that have a rank."""
@@ -179,7 +182,8 @@ def _messages(spread):
 def _received(gather):
     """A block's next row: ``gather`` gets its row, the sum of what each node got, and which nodes got something."""
 
-    def run(state: pa.Table, messages: pa.Table) -> pa.Table:
+    def run(rows: pa.Table) -> pa.Table:
+        state, messages = (rows.filter(pc.is_valid(rows[name])) for name in ("degree", "targets"))
         size = len(_numbers(state["degree"][0], np.int64))
         target = np.frombuffer(b"".join(messages["targets"].to_pylist()), np.uint32).astype(np.int64)
         share = np.frombuffer(b"".join(messages["shares"].to_pylist()), np.float64)
