@@ -1,9 +1,9 @@
 """PageRank and shortest paths to seeds, as loops over DataFrames.
 
-The arcs are laid out once, hashed and sorted on the join key, and stay where they are; each
-step moves only the state. The arcs of a hot node are split over slots, and its state row is
+The arcs are laid out once, packed as tiles between blocks of nodes, and stay where they are; each
+step moves only the state and packed rows for the tiles. The arcs of a block with too many are split over slots, and its state row is
 repeated for each of them. Every step ends in a checkpoint in the shared folder. PageRank numbers the
-nodes first and packs arcs and state by blocks of nodes.
+nodes first; a search keeps their ids.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from decimal import Decimal
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegralType
 
 from sluice.plans.layout import cut, keep_sorted
-from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, every_slot, hot_keys, lookup_join, slot_of
+from sluice.plans.skew import DEFAULT_LIMITS, SkewLimits, every_slot, lookup_join, slot_of
 
 #: Levels of a search that are written together once there are so many.
 LEVELS_PER_BLOCK = 16
@@ -28,31 +29,6 @@ def _distinct_arcs(arcs: DataFrame) -> DataFrame:
     return cut(arcs.select("src", "dst").where("src is not null and dst is not null").distinct())
 
 
-class _SlottedArcs:
-    """Arcs laid out for joins on ``key``, in slots where a node has too many of them."""
-
-    def __init__(self, arcs: DataFrame, key: str, other: str, degrees: DataFrame, total: int, limits: SkewLimits):
-        self._hot = cut(hot_keys(degrees, "id", "degree", limits))
-        self._split = not self._hot.isEmpty()
-        self._key = key
-        if self._split:
-            arcs = self._with_fan(arcs).withColumn("slot", slot_of(F.col("fan"), [other])).drop("fan")
-        self.keys = [key, "slot"] if self._split else [key]
-        self.arcs = keep_sorted(arcs, self.keys, total)
-
-    def _with_fan(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("hot", F.xxhash64(self._key)).join(F.broadcast(self._hot), "hot", "left").drop("hot")
-
-    def join(self, state: DataFrame) -> DataFrame:
-        """Arcs with the columns of ``state``, which holds node ids under the name of the key."""
-        if self._split:
-            state = self._with_fan(state).withColumn("slot", every_slot(F.col("fan"))).drop("fan")
-        return self.arcs.join(state, self.keys)
-
-    def release(self) -> None:
-        self.arcs.unpersist()
-
-
 def _numbers(data: pa.Scalar, kind: type) -> np.ndarray:
     return np.frombuffer(data.as_buffer(), kind)
 
@@ -335,10 +311,19 @@ def shortest_paths_to(
 
     Of equally short paths the one whose steps have the smaller ids is taken. ``len`` counts nodes,
     ``parent`` is the next step (null for the seed). Nodes that cannot reach a seed give no row, nor do
-    seeds that are on no arc. All seeds are searched at once, one level of distance per step, and 64 of them share a
-    row. The search carries ids only; the paths are put together afterwards, twice as long with each step.
+    seeds that are on no arc. Up to 512 seeds are searched at once, one level of distance per step, and 64 of them share a
+    row. The search carries ids only; the paths are put together afterwards, by levels, or twice as long with each step if there
+    are more than ``levels_per_block`` levels.
     """
-    return paths_of(_search(arcs, seeds, limits, levels_per_block))
+    links = arcs.select("src", "dst")
+    id_type = links.select("src").union(links.select("dst")).schema["src"].dataType
+    seeds = seeds.select(F.col("seed").cast(id_type).alias("seed"))
+    if not isinstance(id_type, IntegralType):
+        return _search_named(links, seeds, limits, levels_per_block)
+    links = links.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+    found = _search(links, seeds.select(F.col("seed").cast("bigint").alias("seed")), limits, levels_per_block)
+    cast = [F.col(name).cast(id_type).alias(name) for name in ("seed", "id", "parent")]
+    return found.select(*cast[:2], "len", cast[2], F.col("path").cast(ArrayType(id_type)).alias("path"))
 
 
 def paths_of(found: DataFrame) -> DataFrame:
@@ -360,8 +345,23 @@ def paths_of(found: DataFrame) -> DataFrame:
     return rows.drop("next")
 
 
-#: Seeds that share a row, as bits.
+#: Seeds that share a row of the search, as bits, and a row of the paths; seeds that are searched at once.
 SEEDS_PER_ROW = 64
+SEEDS_PER_PART = 16
+SEEDS_PER_SEARCH = 512
+_ARCS = "block bigint, slot bigint, other bigint, sources binary, targets binary, places binary"
+_OFFER = "block bigint, seeds bigint, other bigint, ids binary, parents binary, bits binary"
+_REACHED = _OFFER + ", fresh binary, going bigint"
+_PATH = "block bigint, part bigint, len bigint, places binary, path binary"
+
+
+def _block(column: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(blocks))
+
+
+def _whole(column: pa.ChunkedArray, kind: type = np.int64) -> np.ndarray:
+    """The numbers of all rows of a binary column, one row after another."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
 def _first_of_each_bit(offers: DataFrame, *keys: str) -> DataFrame:
@@ -371,72 +371,265 @@ def _first_of_each_bit(offers: DataFrame, *keys: str) -> DataFrame:
     return offers.withColumn("gain", F.col("bits").bitwiseAND(F.bitwise_not(before)))
 
 
-def _search(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits, levels_per_block: int) -> DataFrame:
-    """``(seed, id, len, parent)`` of all nodes that reach a seed.
-
-    The state has one row for each node and 64 seeds: which of them it has reached (``visited``) and which of them in the last step
-    (``fresh``). In a step the state and the offers of the nodes reached last meet in one shuffle. A state row counts
-    as the smallest parent there, so what is left of the others' bits is new, and is given to the smallest id that offers it.
+def _first_gains(keys: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_first_of_each_bit` for packed offers, sorted by key and parent: the gains, and all bits of the key so far."""
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    longest = int(np.diff(np.append(heads, len(keys))).max(initial=0))
+    sofar = bits.copy()
+    step = 1
+    while step < longest:
+        sofar[step:] |= np.where(keys[step:] == keys[:-step], sofar[:-step], 0)
+        step *= 2
+    before = np.zeros_like(bits)
+    before[1:] = np.where(keys[1:] == keys[:-1], sofar[:-1], 0)
+    return bits & ~before, sofar
+
+
+def _arc_tiles(arcs: pa.Table) -> pa.Table:
+    """A block's arcs as a row for each block they come from, by source, then target: sources, the different targets, and each arc's place there."""
+    source, target, other = (arcs[name].to_numpy() for name in ("src", "dst", "other"))
+    order = np.lexsort((target, source, other))
+    others, first = np.unique(other[order], return_index=True)
+    found = []
+    for part in np.split(order, first[1:]):
+        targets, places = np.unique(target[part], return_inverse=True)
+        found.append([x.tobytes() for x in (source[part], targets, places.astype(np.uint32))])
+    keys = [[arcs[name][0].as_py()] * len(found) for name in ("block", "slot")]
+    return _rows(_ARCS, *keys, others, *zip(*found))
+
+
+def _offers(state: pa.Table, tiles: pa.Table) -> pa.Table:
+    """What the nodes reached last offer along the arcs of each tile; of equal offers to a node only the one of the smallest parent."""
+    out = []
+    for block, seeds, *reached in zip(state["block"].to_pylist(), state["seeds"].to_pylist(), state["ids"], state["fresh"]):
+        ids, fresh = (_numbers(x, np.int64) for x in reached)
+        ids, fresh = ids[fresh != 0], fresh[fresh != 0]
+        for other, *packed, places in zip(tiles["other"].to_pylist(), tiles["sources"], tiles["targets"], tiles["places"]):
+            source, target = (_numbers(x, np.int64) for x in packed)
+            at = np.minimum(np.searchsorted(ids, target), len(ids) - 1)
+            sent = np.where(ids[at] == target, fresh[at], 0)
+            if sent.any():
+                place = _numbers(places, np.uint32)
+                bits = sent[place]
+                some = np.flatnonzero(bits)
+                gain, _ = _first_gains(source[some], bits[some])
+                some, gain = some[gain != 0], gain[gain != 0]
+                out.append((other, seeds, block, source[some].tobytes(), target[place[some]].tobytes(), gain.tobytes()))
+    return _rows(_OFFER, *(zip(*out) if out else [[]] * 6))
+
+
+def _reach(rows: pa.Table) -> pa.Table:
+    """A block's next row from its last one and the offers to it, and rows of what was reached, for each block of parents and each part of the seeds."""
+    block, seeds = rows["block"][0].as_py(), rows["seeds"][0].as_py()
+    state, offers = rows.filter(pc.is_null(rows["other"])), rows.filter(pc.is_valid(rows["other"]))
+    ids, visited = _whole(state["ids"]), _whole(state["bits"])
+    child, parent, bits = (_whole(offers[name]) for name in ("ids", "parents", "bits"))
+    origin = np.repeat(offers["other"].to_numpy(), pc.binary_length(offers["ids"]).to_numpy() // 8)
+    order = np.lexsort((parent, child))
+    child, parent, bits, origin = child[order], parent[order], bits[order], origin[order]
+    everyone = np.union1d(ids, child)
+    now, fresh = np.zeros(len(everyone), np.int64), np.zeros(len(everyone), np.int64)
+    now[np.searchsorted(everyone, ids)] = visited
+    place = np.searchsorted(everyone, child)
+    gain, sofar = _first_gains(child, bits & ~now[place])
+    # later offers of a node hold the earlier ones' bits as well, and the last one stays
+    fresh[place] = sofar
+    out = [(block, seeds, None, everyone.tobytes(), None, (now | fresh).tobytes(), fresh.tobytes(), int((fresh != 0).sum()))]
+    parts = SEEDS_PER_ROW // SEEDS_PER_PART
+    for part in range(parts):
+        some_bits = gain & np.uint64((1 << SEEDS_PER_PART) - 1 << part * SEEDS_PER_PART).astype(np.int64)
+        some = np.flatnonzero(some_bits)
+        some = some[np.argsort(origin[some], kind="stable")]
+        others, first = np.unique(origin[some], return_index=True)
+        for other, mine in zip(others.tolist(), np.split(some, first[1:])):
+            packed = (x[mine].tobytes() for x in (child, parent, some_bits))
+            # these go to the parents' block
+            out.append((other, seeds * parts + part, block, *packed, None, None))
+    return _rows(_REACHED, *zip(*out))
+
+
+def _ones(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of each bit that is set."""
+    return np.nonzero(np.unpackbits(bits.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+
+
+def _extended(rows: pa.Table) -> pa.Table:
+    """Paths of one length and the nodes that go on to their beginnings: the paths that are longer by one."""
+    known, found = rows.filter(pc.is_valid(rows["path"])), rows.filter(pc.is_valid(rows["parents"]))
+    out = []
+    if len(known) and len(found):
+        length, part = known["len"][0].as_py(), known["part"][0].as_py()
+        path = _whole(known["path"]).reshape(-1, length)
+        begins, row = np.unique(path[:, 0], return_inverse=True)
+        where = np.zeros(len(begins) * SEEDS_PER_ROW, np.int64)
+        where[row * SEEDS_PER_ROW + _whole(known["places"], np.uint8)] = np.arange(len(path))
+        for other, *packed in zip(found["other"].to_pylist(), found["ids"], found["parents"], found["bits"]):
+            child, parent, bits = (_numbers(x, np.int64) for x in packed)
+            at, place = _ones(bits)
+            longer = np.empty((len(at), length + 1), np.int64)
+            longer[:, 0] = child[at]
+            longer[:, 1:] = path[where[np.searchsorted(begins, parent)[at] * SEEDS_PER_ROW + place]]
+            out.append((other, part, length + 1, place.astype(np.uint8).tobytes(), longer.tobytes()))
+    return _rows(_PATH, *(zip(*out) if out else [[]] * 5))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for length, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            path = _numbers(data, np.int64).reshape(-1, length)
+            offsets = pa.array(np.arange(0, path.size + 1, length).astype(np.int32))
+            columns = [
+                pa.array(path[:, -1]),
+                pa.array(path[:, 0]),
+                pa.array(np.full(len(path), length, np.int32)),
+                pa.array(path[:, 1]) if length > 1 else pa.nulls(len(path), pa.int64()),
+                pa.ListArray.from_arrays(offsets, pa.array(path.reshape(-1))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "id", "len", "parent", "path"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(number, id, len, parent)`` of rows of what was reached."""
+    for batch in batches:
+        for part, length, *packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *batch.columns[2:]):
+            child, parent, bits = (_numbers(x, np.int64) for x in packed)
+            at, place = _ones(bits)
+            number = part // (SEEDS_PER_ROW // SEEDS_PER_PART) * SEEDS_PER_ROW + place
+            columns = [number, child[at], np.full(len(at), length, np.int32), parent[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["number", "id", "len", "parent"])
+
+
+class _Reverse:
+    """Arcs as tiles between blocks of nodes, which lie where their targets' block is sent to.
+
+    A node's block is a hash of its id. A step of a search moves a packed row for each tile and not one for each arc. Blocks with too many
+    arcs are split over slots.
     """
-    links = _distinct_arcs(arcs)
-    in_degrees = links.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    layout = _SlottedArcs(links, "dst", "src", in_degrees, links.count(), limits)
-    out_degrees = links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    hot = cut(hot_keys(out_degrees, "id", "degree", limits))
-    some_hot = not hot.isEmpty()
-    id_type = links.schema["dst"].dataType
-    known = links.select(F.col("src").alias("seed")).union(links.select("dst")).distinct()
-    asked = cut(known.join(seeds.select(F.col("seed").cast(id_type).alias("seed")).distinct(), "seed"))
-    parts = 1 + asked.count() // (1 << 16)
-    numbered = cut(
-        asked.repartitionByRange(parts, "seed").sortWithinPartitions("seed").withColumn("number", F.monotonically_increasing_id())
-    )
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("number") % SEEDS_PER_ROW).cast("int"))
-    start = numbered.select(F.col("seed").alias("id"), F.expr(f"number div {SEEDS_PER_ROW}").alias("block"), bit.alias("bits"))
-    state = cut(start.groupBy("id", "block").agg(F.bit_or("bits").alias("visited")).withColumn("fresh", F.col("visited")))
-    nothing = F.lit(None).cast(id_type)
-    levels = [state.select("id", "block", nothing.alias("parent"), F.col("visited").alias("gain"), F.lit(1).alias("len"))]
-    blocks: list[DataFrame] = []
-    key = Window.partitionBy("id", "block")
-    nearest = key.orderBy(F.col("parent").asc_nulls_first())
-    distance = 1
-    try:
-        while True:
-            frontier = state.where("fresh <> 0").select(F.col("id").alias("dst"), "block", F.col("fresh").alias("bits"))
-            if frontier.isEmpty():
-                break
+
+    def __init__(self, links: DataFrame, limits: SkewLimits):
+        total = links.count()
+        self.blocks = max(LEAST_BLOCKS, -(-total // ARCS_PER_BLOCK))
+        slot_rows = int(10 * limits.slot_rows(total))
+        placed = links.select(_block(F.col("dst"), self.blocks).alias("block"), _block(F.col("src"), self.blocks).alias("other"), "src", "dst")
+        sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("arcs"))
+        self._fans = cut(sizes.select("block", F.ceil(F.col("arcs") / slot_rows).cast("int").alias("fan")))
+        placed = placed.join(F.broadcast(self._fans), "block").withColumn("slot", F.pmod(F.xxhash64("src"), "fan")).drop("fan")
+        tiles = cut(placed.groupBy("block", "slot").applyInArrow(_arc_tiles, _ARCS))
+        self._tiles = keep_sorted(tiles.withColumn("slot", F.col("slot").cast("int")), ["block", "slot"], self.blocks**2)
+
+    def step(self, state: DataFrame) -> DataFrame:
+        """The next state of each block and the rows of what it reached."""
+        sending = state.where("going > 0").join(F.broadcast(self._fans), "block").withColumn("slot", every_slot(F.col("fan")))
+        sending = sending.select("block", "slot", "seeds", "ids", "fresh").groupBy("block", "slot")
+        offers = sending.cogroup(self._tiles.groupBy("block", "slot")).applyInArrow(_offers, _OFFER)
+        # a cogroup of both would square the size that the planner expects, with each step again
+        both = state.unionByName(offers, allowMissingColumns=True)
+        return cut(both.groupBy("block", "seeds").applyInArrow(_reach, _REACHED))
+
+    def search(self, seeds: DataFrame, levels_per_block: int) -> DataFrame:
+        """``(seed, id, len, parent, path)`` of all nodes that reach one of ``seeds`` (``seed``, ``number``).
+
+        The state of a block has for each of its nodes, and 64 seeds, which it has reached and which of them in the last step.
+        If there are few levels, the paths of each are sent to the nodes of the next one, so each path moves once; else they are put together by
+        :func:`paths_of`, in fewer steps than there are levels.
+        """
+        first = seeds.select(_block(F.col("seed"), self.blocks).alias("block"), F.col("seed").alias("id"), "number")
+        row = F.expr(f"number div {SEEDS_PER_ROW}")
+        state = cut(first.groupBy("block", row.alias("seeds")).applyInArrow(_first_reached, _REACHED))
+        levels: list[DataFrame] = []
+        written: list[DataFrame] = []
+        distance = 1
+        while not state.where("going > 0").isEmpty():
             distance += 1
-            offers = layout.join(frontier).select(
-                F.col("src").alias("id"), "block", F.col("dst").alias("parent"), "bits"
-            )
-            if some_hot:
-                # a node with very many arcs out gets few offers for each slot first
-                slotted = offers.withColumn("hot", F.xxhash64("id")).join(F.broadcast(hot), "hot", "left")
-                slotted = slotted.withColumn("slot", slot_of(F.col("fan"), ["parent"]))
-                thinned = _first_of_each_bit(slotted, "id", "block", "slot").where("gain <> 0")
-                offers = thinned.select("id", "block", "parent", F.col("gain").alias("bits"))
-            before = state.select("id", "block", nothing.alias("parent"), F.col("visited").alias("bits"))
-            met = _first_of_each_bit(before.unionByName(offers), "id", "block")
-            seen = F.coalesce(F.bit_or(F.when(F.col("parent").isNull(), F.col("bits"))).over(key), F.lit(0).cast("bigint"))
-            met = (
-                met.withColumn("visited", F.bit_or("bits").over(key))
-                .withColumn("fresh", F.col("visited").bitwiseAND(F.bitwise_not(seen)))
-                .withColumn("first", F.row_number().over(nearest) == 1)
-            )
-            step = cut(met.where("first or gain <> 0").drop("bits"))
-            state = step.where("first").select("id", "block", "visited", "fresh")
-            levels.append(
-                step.where("parent is not null and gain <> 0").select("id", "block", "parent", "gain", F.lit(distance).alias("len"))
-            )
+            step = self.step(state)
+            state = step.where("other is null")
+            found = step.where("other is not null").withColumnRenamed("seeds", "part").drop("fresh", "going")
+            levels.append(found.withColumn("len", F.lit(distance).cast("bigint")))
             if len(levels) >= levels_per_block:
-                blocks.append(cut(_union_all(levels)))
+                written.append(cut(_union_all(levels)))
                 levels = []
+        if written:
+            numbers = _union_all(written + levels).select("part", "len", "ids", "parents", "bits")
+            found = numbers.mapInArrow(_pairs, "number bigint, id bigint, len int, parent bigint").join(seeds, "number")
+            own = seeds.select("seed", F.col("seed").alias("id"), F.lit(1).alias("len"), F.lit(None).cast("bigint").alias("parent"))
+            return paths_of(own.unionByName(found.select("seed", "id", "len", "parent")))
+        part = F.expr(f"number div {SEEDS_PER_PART}")
+        paths = [cut(first.groupBy("block", part.alias("part")).applyInArrow(_first_paths, _PATH))]
+        for found in levels:
+            both = paths[-1].unionByName(found.drop("len"), allowMissingColumns=True)
+            paths.append(cut(both.groupBy("block", "part").applyInArrow(_extended, _PATH)))
+        return _union_all(paths).select("len", "path").mapInArrow(
+            _unpacked, "seed bigint, id bigint, len int, parent bigint, path array<bigint>"
+        )
+
+    def release(self) -> None:
+        self._tiles.unpersist()
+
+
+def _sorted_seeds(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    ids, numbers = rows["id"].to_numpy(), rows["number"].to_numpy()
+    order = np.argsort(ids)
+    return ids[order], numbers[order] % SEEDS_PER_ROW
+
+
+def _first_reached(rows: pa.Table) -> pa.Table:
+    ids, place = _sorted_seeds(rows)
+    bits = np.left_shift(np.uint64(1), place.astype(np.uint64)).astype(np.int64).tobytes()
+    block, seeds = _block_of(rows, "seeds", SEEDS_PER_ROW)
+    return _rows(_REACHED, [block], [seeds], [None], [ids.tobytes()], [None], [bits], [bits], [len(ids)])
+
+
+def _first_paths(rows: pa.Table) -> pa.Table:
+    ids, place = _sorted_seeds(rows)
+    block, part = _block_of(rows, "part", SEEDS_PER_PART)
+    return _rows(_PATH, [block], [part], [1], [place.astype(np.uint8).tobytes()], [ids.tobytes()])
+
+
+def _block_of(rows: pa.Table, name: str, together: int) -> tuple[int, int]:
+    return rows["block"][0].as_py(), rows["number"][0].as_py() // together
+
+
+def _search(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits, levels_per_block: int) -> DataFrame:
+    """``(seed, id, len, parent, path)`` over arcs and seeds (``seed``) of bigint ids."""
+    links = _distinct_arcs(arcs)
+    known = links.select(F.col("src").alias("seed")).union(links.select("dst")).distinct()
+    asked = cut(known.join(seeds.select("seed").distinct(), "seed"))
+    numbered = _numbered(asked, "seed", "number")
+    searches = numbered.select(F.expr(f"number div {SEEDS_PER_SEARCH}").alias("first")).distinct().collect()
+    layout = _Reverse(links, limits)
+    try:
+        found = [
+            layout.search(numbered.where(F.expr(f"number div {SEEDS_PER_SEARCH}") == row["first"]), levels_per_block)
+            for row in searches
+        ]
     finally:
         layout.release()
-    places = F.filter(F.sequence(F.lit(0), F.lit(SEEDS_PER_ROW - 1)), lambda place: F.bit_get("gain", place) == 1)
-    found = _union_all(blocks + levels).select("id", "block", "parent", "len", F.explode(places).alias("place"))
-    found = found.withColumn("number", F.col("block") * SEEDS_PER_ROW + F.col("place"))
-    return found.join(numbered, "number").select("seed", "id", "len", "parent")
+    own = [F.col("seed"), F.col("seed").alias("id"), F.lit(1).alias("len"), F.lit(None).cast("bigint").alias("parent"), F.array("seed").alias("path")]
+    return _union_all(found) if found else asked.select(*own)
+
+
+def _numbered(rows: DataFrame, key: str, number: str) -> DataFrame:
+    """Different keys with numbers in their order, not without gaps."""
+    rows = cut(rows)
+    parts = 1 + rows.count() // (1 << 16)
+    return cut(rows.repartitionByRange(parts, key).sortWithinPartitions(key).withColumn(number, F.monotonically_increasing_id()))
+
+
+def _search_named(arcs: DataFrame, seeds: DataFrame, limits: SkewLimits, levels_per_block: int) -> DataFrame:
+    """:func:`_search` for ids that aren't whole numbers: nodes are numbered in the order of their ids first."""
+    links = _distinct_arcs(arcs)
+    names = _numbered(links.select(F.col("src").alias("name")).union(links.select("dst")).distinct(), "name", "number")
+    source = names.select(F.col("name").alias("src"), F.col("number").alias("source"))
+    target = names.select(F.col("name").alias("dst"), F.col("number").alias("target"))
+    placed = lookup_join(lookup_join(links, source, "src"), target, "dst").select(F.col("source").alias("src"), F.col("target").alias("dst"))
+    asked = names.join(seeds.select(F.col("seed").alias("name")).distinct(), "name").select(F.col("number").alias("seed"))
+    found = cut(_search(placed, asked, limits, levels_per_block))
+    steps = found.select("seed", "id", "len", F.posexplode("path").alias("place", "number")).hint("merge").join(names.hint("merge"), "number")
+    paths = steps.groupBy("seed", "id", "len").agg(F.array_sort(F.collect_list(F.struct("place", "name"))).alias("steps"))
+    path = paths.select("len", F.col("steps.name").alias("path"))
+    return path.select(
+        F.element_at("path", -1).alias("seed"), F.element_at("path", 1).alias("id"), "len", F.get("path", F.lit(1)).alias("parent"), "path"
+    )
 
 
 def _union_all(parts: list[DataFrame]) -> DataFrame:

@@ -149,6 +149,52 @@ def test_seeds_share_the_state_of_a_node(table):
     assert gains == {(0, None): 0b1000, (0, 3): 0b0011, (0, 5): 0b0100, (0, 9): 0, (1, 9): 1}
 
 
+def test_packed_offers_gain_the_same_bits(spark):
+    import numpy as np
+
+    from sluice.operators.graph import _first_gains, _first_of_each_bit
+
+    random.seed(3)
+    rows = sorted({(random.randrange(6), random.randrange(40)) for _ in range(120)})
+    bits = [random.getrandbits(64) - (1 << 63) for _ in rows]
+    bits = [b & random.getrandbits(63) if k % 3 else b for k, b in enumerate(bits)]
+    frame = spark.createDataFrame([(i, p, b) for (i, p), b in zip(rows, bits)], "id bigint, parent bigint, bits bigint")
+    gains = {(r["id"], r["parent"]): r["gain"] for r in _first_of_each_bit(frame, "id").collect()}
+    packed, _ = _first_gains(np.array([i for i, _ in rows]), np.array(bits))
+    assert dict(zip(rows, packed.tolist())) == gains
+
+
+def test_a_search_moves_packed_rows(spark, table, result):
+    """Neither the arcs nor the paths of a dense graph are rows of a shuffle once the arcs are laid out."""
+    from sluice.operators.graph import _Reverse
+
+    random.seed(8)
+    rows = {(random.randrange(300), random.randrange(300)) for _ in range(9000)}
+    arcs = table("src bigint, dst bigint", *rows)
+    layout = _Reverse(arcs, SkewLimits())
+    moved = []
+    step = layout.step
+    layout.step = lambda state: moved.append(step(state)) or moved[-1]
+    seeds = spark.createDataFrame([(seed, seed) for seed in range(64)], "seed bigint, number bigint")
+    found = result(layout.search(seeds, 16))
+    layout.release()
+    assert found == plain_paths(rows, range(64))
+    assert sum(frame.where("other is null").count() for frame in moved) <= 32 * len(moved)
+    # pairs of blocks and parts of the seeds, against 64 times 300 paths
+    assert max(frame.count() for frame in moved) <= 32 + 4 * 32 * 32 < len(found) / 4
+
+
+def test_searches_one_after_another(table, result, monkeypatch):
+    from sluice.operators import graph
+
+    monkeypatch.setattr(graph, "SEEDS_PER_SEARCH", 64)
+    random.seed(21)
+    rows = {(random.randrange(-50, 90), random.randrange(-50, 90)) for _ in range(300)}
+    found = sluice.shortest_paths_to(table("src int, dst int", *rows), table("seed bigint", *[(s,) for s in range(-40, 90)]))
+    assert found.schema["path"].dataType.simpleString() == "array<int>" and found.schema["id"].dataType.simpleString() == "int"
+    assert result(found) == plain_paths(rows, range(-40, 90))
+
+
 def test_ranks_within_a_tolerance(spark, table, result):
     import duckdb
     import oracles
