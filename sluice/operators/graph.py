@@ -313,7 +313,7 @@ def shortest_paths_to(
     ``parent`` is the next step (null for the seed). Nodes that cannot reach a seed give no row, nor do
     seeds that are on no arc. Up to 512 seeds are searched at once, one level of distance per step, and 64 of them share a
     row. The search carries ids only; the paths are put together afterwards, by levels, or twice as long with each step if there
-    are more than ``levels_per_block`` levels.
+    are ``levels_per_block`` levels or more.
     """
     links = arcs.select("src", "dst")
     id_type = links.select("src").union(links.select("dst")).schema["src"].dataType
